@@ -22,7 +22,7 @@ _COLUMNS = (
     """CASE WHEN c_custkey % 37 = 0 THEN '  '
          ELSE ' d' || CAST(CAST(floor(c_custkey / 20) AS WHOLE) AS TEXT) END AS domain""",
     "c_name AS endpoint_name",
-    """CASE WHEN c_custkey % 41 = 0 THEN '' WHEN c_custkey % 43 = 0 THEN '/shared'
+    """CASE WHEN c_custkey % 41 = 0 THEN '' WHEN c_custkey % 7 = 0 THEN '/shared'
          ELSE '/' || lower(c_mktsegment) || '/' || CAST(c_custkey AS TEXT) END AS path""",
     """CASE WHEN floor(c_custkey / 20) % 3 = 0 THEN 'get' WHEN c_custkey % 5 = 0 THEN 'post '
          WHEN c_custkey % 5 = 1 THEN ' ' WHEN c_custkey % 5 = 2 THEN NULL ELSE 'GET' END AS method""",

@@ -31,9 +31,9 @@ def none_if_empty(col: Column) -> Column:
 
 
 def json_string(col: Column) -> Column:
-    """The text as a quoted JSON string."""
+    """The text as a quoted JSON string; NULL stays NULL."""
     quoted = F.to_json(F.array(col))
-    return F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    return F.when(col.isNotNull(), F.substring(quoted, F.lit(2), F.length(quoted) - 2))
 
 
 def json_value(col: Column) -> Column:
