@@ -20,7 +20,7 @@ class ResponseFeed:
     landing: str
     base: str
     silver_shape: str = RECORDS
-    buckets: int = 64
+    buckets: int | None = None
 
     def __post_init__(self):
         if self.silver_shape not in (RECORDS, DOCUMENT):
@@ -41,7 +41,7 @@ class FileFeed:
     dedup_keys: tuple[str, ...] = ()
     dedup_order_by: str = "source_file_modified_at"
     max_files: int = 1000
-    buckets: int = 64
+    buckets: int | None = None
     options: dict = field(default_factory=dict)
 
     def __post_init__(self):

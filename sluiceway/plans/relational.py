@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ class RelationalTarget:
     rows that were staged. The watermark is stored with the version it belongs to.
     """
 
-    def __init__(self, spark: SparkSession, base: str, spec: TableSpec, buckets: int = 64):
+    def __init__(self, spark: SparkSession, base: str, spec: TableSpec, buckets: int | None = None):
         self.spark, self.spec = spark, spec
         self.base = f"{base}/{spec.name}"
         # Append-only and history targets keep every change, so the sequence belongs to the key.
@@ -94,12 +95,18 @@ def ingest_tables(
     specs: Sequence[TableSpec],
     source: Callable[[str], DataFrame],
     run: int,
-    buckets: int = 64,
+    buckets: int | None = None,
+    parallel: int = 4,
 ) -> dict[str, RelationalTarget]:
-    """One run over several tables, each with its own keys, cursor and watermark."""
-    targets = {}
-    for spec in specs:
+    """One run over several tables, each with its own keys, cursor and watermark.
+
+    Tables do not depend on each other, so a few are ingested at a time.
+    """
+
+    def ingest(spec: TableSpec) -> RelationalTarget:
         target = RelationalTarget(spark, base, spec, buckets)
         target.run_pull(source(spec.name), run)
-        targets[spec.name] = target
-    return targets
+        return target
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return {target.spec.name: target for target in pool.map(ingest, specs)}

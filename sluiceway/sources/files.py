@@ -22,13 +22,15 @@ def discover(spark: SparkSession, path: str, max_files: int = 1000, pattern: str
     """A stream of new files below a folder, each exactly once; contents are not read.
 
     ``max_files`` bounds one micro-batch and so the file list the driver holds; a trigger goes on
-    with further batches until every file is in.
+    with further batches until every file is in. Files count as new whatever their modification
+    time: the default age limit of a file stream would leave out old files that arrive late.
     """
     reader = (
         spark.readStream.format("binaryFile")
         .schema(_LISTING)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", "36500d")
     )
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)

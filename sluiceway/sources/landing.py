@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LANDING_SCHEMA = T.StructType(
@@ -20,12 +21,14 @@ LANDING_SCHEMA = T.StructType(
 
 
 def append_landing(responses: DataFrame, path: str) -> None:
-    responses.write.mode("append").parquet(path)
+    """One folder per run, so that checking or reading a run touches nothing else."""
+    responses.write.mode("append").partitionBy("run_id").parquet(path)
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """All landed rows; columns that later writers added are merged in."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    rows = spark.read.option("mergeSchema", "true").parquet(path)
+    return rows.withColumn("run_id", F.col("run_id").cast("string"))
 
 
 def stream_landing(

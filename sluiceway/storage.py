@@ -29,6 +29,10 @@ class Folder:
         found = [s.getPath().getName() for s in self._fs.listStatus(self._at(name))]
         return sorted(n for n in found if not n.startswith((".", "_tmp-")))
 
+    def size(self, name: str = "") -> int:
+        """Bytes of all files below."""
+        return self._fs.getContentSummary(self._at(name)).getLength() if self.exists(name) else 0
+
     def read(self, name: str) -> str:
         stream = self._fs.open(self._at(name))
         try:

@@ -2,9 +2,9 @@
 
 Parquet has no MERGE. Each batch is reduced to one row per key and appended as a delta of the
 hash buckets it touches; a bucket with too many deltas is folded into one file set. A small commit
-file, written last, names what is live. Cost of a batch follows the batch, not the table; readers
-fold only buckets that have deltas. Where a lake format with MERGE is at hand, ``upsert`` is the
-one call to replace.
+file, written last, names what is live. The cost of a batch follows the batch, not the table;
+``max_deltas=0`` folds at once instead, for tables that are read far more often than written.
+Where a lake format with MERGE is at hand, ``upsert`` is the one call to replace.
 """
 
 from __future__ import annotations
@@ -29,18 +29,22 @@ class KeyedTable:
         path: str,
         keys: Sequence[str],
         sequence_by: Sequence[str],
-        buckets: int = 64,
+        buckets: int | None = None,
         max_deltas: int = 8,
         sort_by: Sequence[str] = (),
     ):
         self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.sequence_by = list(keys), list(sequence_by)
-        self.buckets, self.max_deltas = buckets, max_deltas
-        self.sort_by = list(sort_by)
+        self.max_deltas, self.sort_by = max_deltas, list(sort_by)
         self._folder = Folder(spark, self.path)
         latest = self.version()
-        if latest is not None:
-            self._check(self.commit(latest))
+        made = self.commit(latest) if latest is not None else None
+        self.buckets = buckets or (made["buckets"] if made else self._shuffle_partitions())
+        if made:
+            self._check(made)
+
+    def _shuffle_partitions(self) -> int:
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     def _check(self, commit: dict) -> None:
         mine = (self.keys, self.sequence_by, self.buckets)
@@ -74,23 +78,48 @@ class KeyedTable:
 
     # -- reading -----------------------------------------------------------------------------
 
-    def _load(self, commit: dict, buckets: Sequence[str]) -> DataFrame:
-        """The rows of some buckets, one per key, deletes included."""
-        live, schema = commit["live"], T.StructType.fromJson(commit["schema"])
-        clean = [self._place(live[b][0], b) for b in buckets if len(live[b]) == 1]
-        mixed = [self._place(c, b) for b in buckets if len(live[b]) > 1 for c in live[b]]
-        parts = []
-        if clean:
-            parts.append(self.spark.read.schema(schema).parquet(*clean))
-        if mixed:
-            rows = self.spark.read.schema(schema).parquet(*mixed)
-            parts.append(latest_per_key(rows, self.keys, self.sequence_by))
-        if not parts:
+    def _scan(self, commit: dict, places: Sequence[tuple[str, str]]) -> DataFrame:
+        """The rows of some (commit, bucket) folders, as they were written."""
+        schema = T.StructType.fromJson(commit["schema"])
+        if not places:
             return self.spark.createDataFrame([], schema)
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        paths = [f"{self.path}/data/commit={c}/{BUCKET}={b}" for c, b in places]
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def _clean(self, commit: dict, buckets: Sequence[str]) -> list[tuple[str, str]]:
+        return [(commit["live"][b][0], b) for b in buckets if len(commit["live"][b]) == 1]
+
+    def _base(self, commit: dict, buckets: Sequence[str]) -> list[tuple[str, str]]:
+        return [(commit["live"][b][0], b) for b in buckets if len(commit["live"][b]) > 1]
+
+    def _deltas(self, commit: dict, buckets: Sequence[str]) -> list[tuple[str, str]]:
+        return [(c, b) for b in buckets for c in commit["live"][b][1:]]
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, self.keys, self.sequence_by)
+
+    def _mixed(self, commit: dict, buckets: Sequence[str]) -> DataFrame:
+        """Buckets with deltas, one row per key.
 
-    def _place(self, commit: str, bucket: str) -> str:
-        return f"{self.path}/data/commit={commit}/{BUCKET}={bucket}"
+        While the deltas are small enough to broadcast, by their size on disk, base rows without a
+        newer rival pass through unshuffled. Else everything is reduced per key.
+        """
+        base, deltas = self._base(commit, buckets), self._deltas(commit, buckets)
+        written = sum(commit["bytes"].get(c, 0) for c in {c for c, _ in deltas})
+        if written > _broadcast_limit(self.spark):
+            return self._newest(self._scan(commit, base + deltas))
+        old, new = self._scan(commit, base), self._scan(commit, deltas)
+        rivals = F.broadcast(new.select(*self.keys))
+        contested = old.join(rivals, self.keys, "left_semi").unionByName(new)
+        return old.join(rivals, self.keys, "left_anti").unionByName(self._newest(contested))
+
+    def _load(self, commit: dict, buckets: Sequence[str]) -> DataFrame:
+        """The rows of some buckets, one per key, deletes included."""
+        clean = self._scan(commit, self._clean(commit, buckets))
+        if not self._deltas(commit, buckets):
+            return clean
+        mixed = self._mixed(commit, buckets)
+        return clean.unionByName(mixed) if self._clean(commit, buckets) else mixed
 
     def read(self, version: int | None = None, with_deleted: bool = False) -> DataFrame:
         version = self.version() if version is None else version
@@ -101,16 +130,26 @@ class KeyedTable:
         return rows if with_deleted else rows.filter(~F.col(DELETED)).drop(DELETED)
 
     def changes(self, before: int | None, after: int | None = None, ignore: Sequence[str] = ()) -> DataFrame:
-        """Row-level changes between two versions; reads only buckets whose files differ."""
-        new = self.commit(self.version() if after is None else after)
-        old = new | {"live": {}} if before is None else self.commit(before)
-        moved = [b for b in new["live"] if new["live"][b] != old["live"].get(b)]
+        """Row-level changes between two versions.
 
-        def rows(commit: dict) -> DataFrame:
-            present = self._load(commit, sorted(b for b in moved if b in commit["live"]))
-            return present.filter(~F.col(DELETED)).drop(DELETED)
-
-        return table_changes(rows(old), rows(new), self.keys, ignore)
+        Only keys in the deltas of the versions between can differ, so both states are cut down to
+        those keys in the scan, before anything is reduced or joined.
+        """
+        last = self.version() if after is None else after
+        new = self.commit(last)
+        first = -1 if before is None else before
+        written = [(str(v), b) for v in range(first + 1, last + 1) for b in self.commit(v)["written"]]
+        touched = sorted({b for _, b in written})
+        keys = self._scan(new, written).select(*self.keys)
+
+        def state(commit: dict) -> DataFrame:
+            live = [b for b in touched if b in commit["live"]]
+            places = self._clean(commit, live) + self._base(commit, live) + self._deltas(commit, live)
+            rows = self._newest(self._scan(commit, places).join(keys, self.keys, "left_semi"))
+            return rows.filter(~F.col(DELETED)).drop(DELETED)
+
+        old = {**new, "live": {}} if before is None else self.commit(before)
+        return table_changes(state(old), state(new), self.keys, ignore)
 
     # -- writing -----------------------------------------------------------------------------
 
@@ -137,8 +176,10 @@ class KeyedTable:
         rows = latest_per_key(mark_deletes(changes, delete_when), self.keys, self.sequence_by)
         schema = _merged(T.StructType.fromJson(last["schema"]) if last else None, rows.schema)
         live = {b: list(c) for b, c in last["live"].items()} if last else {}
-        for bucket in self._write(rows, str(version)):
+        written = self._write(rows, str(version))
+        for bucket in written:
             live.setdefault(bucket, []).append(str(version))
+        size = self._folder.size(f"data/commit={version}")
         commit = {
             "version": version,
             "keys": self.keys,
@@ -146,27 +187,33 @@ class KeyedTable:
             "buckets": self.buckets,
             "schema": json.loads(schema.json()),
             "live": live,
+            "written": written,
+            "bytes": {**(last["bytes"] if last else {}), str(version): size},
             "applied": {**(last["applied"] if last else {}), query_id: batch_id},
             "meta": {**(last["meta"] if last else {}), **(meta or {})},
         }
         if before_commit:
             before_commit()
         self._fold(commit, [b for b in live if len(live[b]) > self.max_deltas + 1])
+        named = {c for commits in live.values() for c in commits}
+        commit["bytes"] = {c: n for c, n in commit["bytes"].items() if c in named}
         self._folder.publish(f"commits/{version:010d}.json", json.dumps(commit))
         return version
 
     def _write(self, rows: DataFrame, commit: str) -> list[str]:
-        """Write rows by bucket and name the buckets written.
+        """Write rows that were just reduced per key, by bucket, and name the buckets written.
 
-        The rebalance hint clusters by bucket and lets adaptive execution split large buckets and
-        join small ones, so neither a bucket nor a task grows with the table. The sort keeps
-        clustered columns together inside each file.
+        The bucket is the hash by which the reducing shuffle placed the rows. Where the shuffle
+        has a multiple of the buckets, each task holds one bucket and writes one file. Otherwise
+        rows are brought together by bucket, with large buckets split and small ones joined. The
+        sort keeps clustered columns together inside each file.
         """
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        bucket = F.pmod(F.hash(*self.keys), F.lit(self.buckets)).cast("int")
+        placed = rows.withColumn(BUCKET, bucket)
+        if self._shuffle_partitions() % self.buckets:
+            placed = placed.hint("rebalance", BUCKET)
         (
-            rows.withColumn(BUCKET, bucket)
-            .hint("rebalance", BUCKET)
-            .sortWithinPartitions(BUCKET, *(self.sort_by or self.keys))
+            placed.sortWithinPartitions(BUCKET, *(self.sort_by or self.keys))
             .write.mode("overwrite")
             .partitionBy(BUCKET)
             .parquet(f"{self.path}/data/commit={commit}")
@@ -175,10 +222,12 @@ class KeyedTable:
         return [n.split("=")[1] for n in found if n.startswith(f"{BUCKET}=")]
 
     def _fold(self, commit: dict, buckets: Sequence[str]) -> None:
+        """Give each bucket one file set. All rows are reduced, which also brings files together."""
         if not buckets:
             return
         name = f"{commit['version']}f"
-        for bucket in self._write(self._load(commit, buckets), name):
+        places = self._base(commit, buckets) + self._deltas(commit, buckets)
+        for bucket in self._write(self._newest(self._scan(commit, places)), name):
             commit["live"][bucket] = [name]
 
     def compact(self) -> int:
@@ -188,7 +237,7 @@ class KeyedTable:
         dirty = [b for b, c in commit["live"].items() if len(c) > 1]
         if not dirty:
             return latest
-        commit["version"] = latest + 1
+        commit |= {"version": latest + 1, "written": []}
         self._fold(commit, dirty)
         self._folder.publish(f"commits/{latest + 1:010d}.json", json.dumps(commit))
         return latest + 1
@@ -198,6 +247,8 @@ class KeyedTable:
         versions = [int(n.split(".")[0]) for n in self._folder.names("commits")]
         kept = versions[-keep:]
         used = {c for v in kept for commits in self.commit(v)["live"].values() for c in commits}
+        # The own delta of each kept version but the first tells its changes from the one before.
+        used |= {str(v) for v in kept[1:]}
         for version in versions[:-keep]:
             self._folder.remove(f"commits/{version:010d}.json")
         unused = [n for n in self._folder.names("data") if n.split("=")[1] not in used]
@@ -206,6 +257,12 @@ class KeyedTable:
         return unused
 
 
+def _broadcast_limit(spark: SparkSession) -> int:
+    """Bytes Spark itself would broadcast; nothing where that is switched off."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text) if text != "-1" else -1
+
+
 def _merged(known: T.StructType | None, found: T.StructType) -> T.StructType:
     """Columns are added, never retyped."""
     if known is None:
