@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import time
 import urllib.error
 import urllib.request
@@ -10,11 +9,11 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sluiceway.functions.text import ERROR_TEXT_CHARS
 from sluiceway.sources.landing import LANDING_SCHEMA, append_landing
@@ -74,6 +73,10 @@ def _utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+# A task hands its rows on at this many, or at this much body text.
+HELD_ROWS, HELD_CHARS = 2000, 16_000_000
+
+
 @dataclass(frozen=True)
 class _Fetcher:
     """What one task needs to turn specs into landing rows; travels to the executors."""
@@ -93,7 +96,8 @@ class _Fetcher:
         while True:
             attempt += 1
             try:
-                status, text = self.transport(method, path, spec.get("body"), spec.get("headers") or {})
+                headers = dict(spec.get("headers") or {})
+                status, text = self.transport(method, path, spec.get("body"), headers)
                 if status >= 500:
                     raise TransientHttpError(f"HTTP {status} on {path}")
             except Exception as problem:
@@ -105,27 +109,35 @@ class _Fetcher:
             error = None if good else f"HTTP {status}: {text[:ERROR_TEXT_CHARS]}"
             return (endpoint, path, status, text if good else None, error, self.now(), self.run_id, attempt)
 
-    def __call__(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = LANDING_SCHEMA.names
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for row in self._rows(spec for batch in batches for spec in batch.to_pylist()):
+            held.append(row)
+            size += len(row[3] or "")
+            # Specs are small but bodies can be large, so what is held is bounded by both.
+            if len(held) >= HELD_ROWS or size >= HELD_CHARS:
+                yield _landed(held)
+                held, size = [], 0
+        if held:
+            yield _landed(held)
+
+    def _rows(self, specs: Iterator[dict]) -> Iterator[tuple]:
+        """Rows in the order of the specs, with at most ``threads`` requests under way."""
+        if self.threads == 1:
+            yield from map(self.row, specs)
+            return
         with ThreadPoolExecutor(max_workers=self.threads) as pool:
-            for batch in batches:
-                # Few responses are held at a time: bodies can be large, specs are small.
-                step = max(self.threads * 8, 1)
-                for start in range(0, len(batch), step):
-                    specs = [_spec(r) for r in batch.iloc[start : start + step].to_dict("records")]
-                    landed = pd.DataFrame(list(pool.map(self.row, specs)), columns=names)
-                    landed["status_code"] = landed["status_code"].astype("Int32")
-                    landed["attempts"] = landed["attempts"].astype("Int32")
-                    landed["fetched_at"] = pd.to_datetime(landed["fetched_at"], utc=True)
-                    yield landed
-
-
-def _spec(row: dict) -> dict:
-    headers = row.get("headers")
-    if headers is not None and not isinstance(headers, dict):
-        headers = dict(headers)
-    plain = {k: (None if not isinstance(v, str) else v) for k, v in row.items() if k != "headers"}
-    return {**plain, "headers": headers}
+            while window := list(islice(specs, self.threads * 8)):
+                yield from pool.map(self.row, window)
+
+
+_ARROW = {"string": pa.string(), "int": pa.int32(), "timestamp": pa.timestamp("us", tz="UTC")}
+
+
+def _landed(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [_ARROW[f.dataType.simpleString()] for f in LANDING_SCHEMA]
+    columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
+    return pa.RecordBatch.from_arrays(columns, names=LANDING_SCHEMA.names)
 
 
 def fetch_responses(
@@ -147,7 +159,7 @@ def fetch_responses(
     fetcher = _Fetcher(transport, run_id, policy, threads, sleep, now)
     tasks = max(1, concurrency // threads)
     wanted = [c for c in ("path", "method", "body", "headers", "name") if c in specs.columns]
-    return specs.select(*wanted).repartition(tasks).mapInPandas(fetcher, LANDING_SCHEMA)
+    return specs.select(*wanted).repartition(tasks).mapInArrow(fetcher, LANDING_SCHEMA)
 
 
 def summarize_run(landed: DataFrame) -> DataFrame:
@@ -171,7 +183,7 @@ def land_run(responses: DataFrame, run_id: str, staging: str, landing: str) -> d
     if speculation == "true":
         raise ValueError("fetching needs spark.speculation=false: copies of a task repeat its requests")
     responses.write.mode("overwrite").parquet(staging)
-    staged = spark.read.schema(T.StructType.fromJson(json.loads(LANDING_SCHEMA.json()))).parquet(staging)
+    staged = spark.read.schema(LANDING_SCHEMA).parquet(staging)
     totals = summarize_run(staged).first()
     if totals is None or totals["success"] == 0:
         count, error = (0, None) if totals is None else (totals["responses"], totals["an_error"])

@@ -1,6 +1,12 @@
+import os
+import sys
+
 import pytest
 
-from sluiceway.session import build_session
+# Python workers load test functions by module name.
+os.environ["PYTHONPATH"] = os.pathsep.join(p for p in sys.path if p)
+
+from sluiceway.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
