@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,8 +82,8 @@ def _parquet_schemas(spark: SparkSession, paths: list[str], options: dict) -> li
     try:
         merged = spark.read.options(**options).option("mergeSchema", "true").parquet(*paths).schema
         return [(paths, merged)]
-    except PySparkException:
-        if len(paths) == 1:
+    except (PySparkException, Py4JJavaError) as problem:
+        if len(paths) == 1 or "CANNOT_MERGE" not in str(problem):
             raise
         middle = len(paths) // 2
         groups: list[tuple[list[str], T.StructType]] = []
