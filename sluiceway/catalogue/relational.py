@@ -94,7 +94,7 @@ def scd2_history(spark, sf_dir):
 @query(_HISTORY.format(key="o_orderpriority"))
 def scd2_history_hot_keys(spark, sf_dir):
     """Few keys with a large part of the rows each: their histories are chained in pieces."""
-    return _history(spark, sf_dir, "o_orderpriority", hot_rows=500, pieces=16)
+    return _history(spark, sf_dir, "o_orderpriority", piece_rows=200)
 
 
 @query(

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from sluiceway.functions.rows import all_present, comparable, row_hash, sequence_order
@@ -57,53 +56,51 @@ def missing_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(~all_present(keys))
 
 
-# Types that percentile_approx can cut into ranges.
-_RANGEABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+def _count_up_to(cuts: Column, value: Column) -> Column:
+    """How many of the sorted cuts are not above the value, by halving."""
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        right = F.get(cuts, middle) <= value
+        found = span["low"] >= span["high"]
+        return F.struct(
+            F.when(~found & right, middle + 1).otherwise(span["low"]).alias("low"),
+            F.when(~found & ~right, middle).otherwise(span["high"]).alias("high"),
+        )
+
+    whole = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cuts) + F.lit(1))).cast("int"))
+    return F.aggregate(steps, whole, halve, lambda span: span["low"])
 
 
 def _next_in_key(
-    df: DataFrame, keys: Sequence[str], sequence: str, tie: Column, hot_rows: int, pieces: int
+    df: DataFrame, keys: Sequence[str], sequence: str, tie: Column, piece_rows: int
 ) -> DataFrame:
     """Adds ``_next``: the sequence of the following row of the same key, in a struct.
 
-    A window per key would put a hot key into one task. Keys above ``hot_rows`` rows are therefore
-    cut into ranges of the sequence; inside a range the window applies, and the last row of a
-    range takes the first sequence of the next one. There are at most ``rows / hot_rows`` hot keys
-    and ``pieces`` ranges each, which bounds what is broadcast.
+    A window per key would put a hot key into one task. Therefore about one in ``piece_rows``
+    sequences, chosen by the hash of key and sequence, starts a new piece of its key, and the
+    window runs inside pieces. What follows the last row of a piece is the start of the next one,
+    which is known. There are about ``rows / piece_rows`` starts in all, whatever the keys look
+    like; they are few enough to broadcast. A key with few rows hardly ever has one.
     """
     here = F.struct(F.col(sequence).alias("v"))
-
-    def follow(frame: DataFrame, by: list[str]) -> DataFrame:
-        ahead = W.partitionBy(*by).orderBy(here, tie)
-        return frame.withColumn("_next", F.lead(here).over(ahead))
-
-    if not isinstance(df.schema[sequence].dataType, _RANGEABLE):
-        return follow(df, list(keys))
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).drop("_n")
-    fractions = [i / pieces for i in range(1, pieces)]
+    starts = F.pmod(F.xxhash64(*keys, sequence), F.lit(piece_rows)) == 0
     cuts = (
-        df.select(*keys, sequence)
-        .join(F.broadcast(hot), list(keys), "left_semi")
+        df.filter(F.col(sequence).isNotNull() & starts)
         .groupBy(*keys)
-        .agg(F.percentile_approx(sequence, fractions, 10 * pieces).alias("_cuts"))
-    )
-    piece = F.when(F.col("_cuts").isNull() | F.col(sequence).isNull(), F.lit(0)).otherwise(
-        F.size(F.filter("_cuts", lambda cut: cut <= F.col(sequence)))
+        .agg(F.array_sort(F.collect_set(sequence)).alias("_cuts"))
     )
-    cut = df.join(F.broadcast(cuts), list(keys), "left").withColumn("_piece", piece)
-    bounds = (
-        cut.filter(F.col("_cuts").isNotNull())
-        .groupBy(*keys, "_piece")
-        .agg(F.min(here).alias("_first"))
-        .withColumn("_beyond", F.lead("_first").over(W.partitionBy(*keys).orderBy("_piece")))
-        .drop("_first")
-    )
-    return (
-        follow(cut.drop("_cuts"), [*keys, "_piece"])
-        .join(F.broadcast(bounds), [*keys, "_piece"], "left")
-        .withColumn("_next", F.coalesce("_next", "_beyond"))
-        .drop("_piece", "_beyond")
+    inside = F.col("_cuts").isNull() | F.col(sequence).isNull()
+    pieces = (
+        df.join(F.broadcast(cuts), list(keys), "left")
+        .withColumn("_piece", F.when(inside, 0).otherwise(_count_up_to(F.col("_cuts"), F.col(sequence))))
+        .withColumn("_beyond", F.get("_cuts", F.col("_piece")))
+        .drop("_cuts")
     )
+    following = F.lead(here).over(W.partitionBy(*keys, "_piece").orderBy(here, tie))
+    start = F.when(F.col("_beyond").isNotNull(), F.struct(F.col("_beyond").alias("v")))
+    return pieces.withColumn("_next", F.coalesce(following, start)).drop("_piece", "_beyond")
 
 
 def history(
@@ -113,8 +110,7 @@ def history(
     delete_when: str | Column | None = None,
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
-    hot_rows: int = 5_000_000,
-    pieces: int = 256,
+    piece_rows: int = 1_000_000,
 ) -> DataFrame:
     """SCD type 2: every version of a key with the sequence range in which it held.
 
@@ -123,7 +119,7 @@ def history(
     """
     rows = mark_deletes(changes.filter(all_present(keys)), delete_when)
     tie = row_hash(rows, sorted(rows.columns))
-    chained = _next_in_key(rows, keys, sequence, tie, hot_rows, pieces)
+    chained = _next_in_key(rows, keys, sequence, tie, piece_rows)
     superseded = F.col("_next").eqNullSafe(F.struct(F.col(sequence).alias("v")))
     return (
         chained.filter(~superseded & ~F.col(DELETED))

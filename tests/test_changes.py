@@ -63,10 +63,10 @@ def test_current_state_is_idempotent(spark, rows):
 
 
 @several
-@given(changes, st.sampled_from([1, 2, 1000]))
-def test_history_matches_brute_force_for_hot_and_cold_keys(spark, rows, hot_rows):
+@given(changes, st.sampled_from([1, 2, 3, 1000]))
+def test_history_matches_brute_force_for_any_pieces(spark, rows, piece_rows):
     df = spark.createDataFrame(rows, SCHEMA)
-    found = history(df, ["key"], "seq", "op = 'd'", hot_rows=hot_rows, pieces=4)
+    found = history(df, ["key"], "seq", "op = 'd'", piece_rows=piece_rows)
     assert sorted(map(tuple, found.collect()), key=str) == brute_history(rows)
     still_open = sorted(tuple(r)[:4] for r in open_versions(found).collect())
     assert still_open == brute_state(rows)
@@ -77,7 +77,7 @@ def test_one_hot_key_is_cut_at_its_sequences(spark):
         F.when(F.col("id") < 2900, "hot").otherwise(F.col("id").cast("string")).alias("key"),
         F.col("id").alias("seq"), F.lit("u").alias("op"),
     )
-    found = history(df, ["key"], "seq", hot_rows=100, pieces=32)
+    found = history(df, ["key"], "seq", piece_rows=50)
     hot = {r["valid_from"]: r["valid_to"] for r in found.filter("key = 'hot'").collect()}
     assert hot == {i: i + 1 if i < 2899 else None for i in range(2900)}
     assert found.filter("key <> 'hot' AND valid_to IS NULL").count() == 100
@@ -85,8 +85,17 @@ def test_one_hot_key_is_cut_at_its_sequences(spark):
 
 def test_history_keeps_one_of_equal_sequences(spark):
     df = spark.createDataFrame([("a", 1, 1, "u"), ("a", 1, 2, "u"), ("a", 2, 3, "u")], SCHEMA)
-    found = history(df, ["key"], "seq").collect()
-    assert sorted((r["valid_from"], r["valid_to"]) for r in found) == [(1, 2), (2, None)]
+    for piece_rows in (1, 1000):
+        found = history(df, ["key"], "seq", piece_rows=piece_rows).collect()
+        assert sorted((r["valid_from"], r["valid_to"]) for r in found) == [(1, 2), (2, None)]
+
+
+def test_history_takes_any_ordered_sequence(spark):
+    df = spark.range(200).select(F.lit("a").alias("key"), F.format_string("%05d", "id").alias("seq"))
+    found = history(df, ["key"], "seq", piece_rows=10)
+    assert {(r["valid_from"], r["valid_to"]) for r in found.collect()} == {
+        (f"{i:05d}", f"{i + 1:05d}" if i < 199 else None) for i in range(200)
+    }
 
 
 def test_null_sequence_is_oldest_and_null_key_is_left_out(spark):
