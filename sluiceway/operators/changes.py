@@ -56,21 +56,19 @@ def missing_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(~all_present(keys))
 
 
-def _count_up_to(cuts: Column, value: Column) -> Column:
-    """How many of the sorted cuts are not above the value, by halving."""
-
-    def halve(span: Column, _: Column) -> Column:
-        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
-        right = F.get(cuts, middle) <= value
-        found = span["low"] >= span["high"]
-        return F.struct(
-            F.when(~found & right, middle + 1).otherwise(span["low"]).alias("low"),
-            F.when(~found & ~right, middle).otherwise(span["high"]).alias("high"),
-        )
-
-    whole = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
-    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cuts) + F.lit(1))).cast("int"))
-    return F.aggregate(steps, whole, halve, lambda span: span["low"])
+def _halving_steps(cuts: Column) -> Column:
+    """Powers of two, descending, that together reach every position of the array."""
+    largest = F.floor(F.log2(F.size(cuts).cast("double"))).cast("int")
+    return F.transform(F.sequence(largest, F.lit(0), F.lit(-1)), lambda e: F.pow(F.lit(2), e).cast("int"))
+
+
+def _count_up_to(cuts: Column, steps: Column, value: Column) -> Column:
+    """How many of the sorted cuts are not above the value, in as many steps as the size has bits."""
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda found, step: F.when(F.get(cuts, found + step - 1) <= value, found + step).otherwise(found),
+    )
 
 
 def _next_in_key(
@@ -90,13 +88,15 @@ def _next_in_key(
         df.filter(F.col(sequence).isNotNull() & starts)
         .groupBy(*keys)
         .agg(F.array_sort(F.collect_set(sequence)).alias("_cuts"))
+        .withColumn("_steps", _halving_steps(F.col("_cuts")))
     )
+    found = _count_up_to(F.col("_cuts"), F.col("_steps"), F.col(sequence))
     inside = F.col("_cuts").isNull() | F.col(sequence).isNull()
     pieces = (
         df.join(F.broadcast(cuts), list(keys), "left")
-        .withColumn("_piece", F.when(inside, 0).otherwise(_count_up_to(F.col("_cuts"), F.col(sequence))))
+        .withColumn("_piece", F.when(inside, 0).otherwise(found))
         .withColumn("_beyond", F.get("_cuts", F.col("_piece")))
-        .drop("_cuts")
+        .drop("_cuts", "_steps")
     )
     following = F.lead(here).over(W.partitionBy(*keys, "_piece").orderBy(here, tie))
     start = F.when(F.col("_beyond").isNotNull(), F.struct(F.col("_beyond").alias("v")))

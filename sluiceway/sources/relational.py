@@ -61,6 +61,17 @@ class JdbcSource:
         return spark.read.format("jdbc").options(**self.reader_options(table, **split)).load()
 
 
+def schema_specs(
+    spark: SparkSession, database: str, primary_keys: Mapping[str, Sequence[str]], **settings
+) -> list[TableSpec]:
+    """One spec per table of a whole schema; every table needs its primary keys named."""
+    names = sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+    unnamed = [n for n in names if n not in primary_keys]
+    if unnamed:
+        raise ValueError(f"no primary keys for {', '.join(unnamed)}")
+    return [TableSpec(n, tuple(primary_keys[n]), **settings) for n in names]
+
+
 def pull(source: DataFrame, cursor: str | None, watermark=None) -> DataFrame:
     """Rows whose cursor moved past the watermark; everything without a cursor or watermark."""
     if cursor is None or watermark is None:
