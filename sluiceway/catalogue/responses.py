@@ -121,11 +121,12 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _record_columns(rows: DataFrame) -> DataFrame:
     """Fields out of the record text, as a reader of silver takes them."""
-    return rows.select(
+    fields = rows.withColumn("record", F.from_json("record_json", "seen string, attrs string, label string"))
+    return fields.select(
         "endpoint", "url", "status_code", "fetched_at", "ingest_date", "run_id", "record_id",
-        F.get_json_object("record_json", "$.seen").cast("bigint").alias("seen"),
-        F.get_json_object(F.get_json_object("record_json", "$.attrs"), "$.k").cast("bigint").alias("k"),
-        F.get_json_object("record_json", "$.label").alias("label"),
+        F.col("record.seen").cast("bigint").alias("seen"),
+        F.from_json("record.attrs", "k bigint")["k"].alias("k"),
+        F.col("record.label").alias("label"),
     )
 
 

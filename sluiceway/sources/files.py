@@ -19,19 +19,27 @@ CORRUPT = "_corrupt_record"
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def discover(spark: SparkSession, path: str, max_files: int = 1000, pattern: str | None = None) -> DataFrame:
+def discover(
+    spark: SparkSession,
+    path: str,
+    max_files: int = 1000,
+    pattern: str | None = None,
+    max_age: str = "36500d",
+) -> DataFrame:
     """A stream of new files below a folder, each exactly once; contents are not read.
 
     ``max_files`` bounds one micro-batch and so the file list the driver holds; a trigger goes on
-    with further batches until every file is in. Files count as new whatever their modification
-    time: the default age limit of a file stream would leave out old files that arrive late.
+    with further batches until every file is in. By default files count as new whatever their
+    modification time; the limit a file stream has of its own leaves out old files that arrive
+    late. A feed that never gets such files may set ``max_age``, which keeps the list of seen files
+    in the driver short.
     """
     reader = (
         spark.readStream.format("binaryFile")
         .schema(_LISTING)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
-        .option("maxFileAge", "36500d")
+        .option("maxFileAge", max_age)
     )
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)

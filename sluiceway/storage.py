@@ -29,6 +29,12 @@ class Folder:
         found = [s.getPath().getName() for s in self._fs.listStatus(self._at(name))]
         return sorted(n for n in found if not n.startswith((".", "_tmp-")))
 
+    def matching(self, pattern: str) -> list[str]:
+        """Paths below the folder that match a glob, relative to it, in one listing call."""
+        found = self._fs.globStatus(self._at(pattern)) or []
+        depth = pattern.count("/") + 1
+        return sorted("/".join(s.getPath().toString().split("/")[-depth:]) for s in found)
+
     def size(self, name: str = "") -> int:
         """Bytes of all files below."""
         return self._fs.getContentSummary(self._at(name)).getLength() if self.exists(name) else 0

@@ -44,20 +44,16 @@ class BatchTable:
         rows.write.mode("overwrite").partitionBy("ingest_date").parquet(target)
 
     def read(self, schema: T.StructType, batch_id: int | None = None) -> DataFrame:
-        wanted = [batch_id] if batch_id is not None else self.batches()
-        paths = [f"{self.path}/batch={b}" for b in wanted if self._has_rows(b)]
+        """The rows of every finished batch, or of one."""
+        wanted = "*" if batch_id is None else str(batch_id)
+        done = {n.split("/")[0] for n in self._folder.matching(f"batch={wanted}/_SUCCESS")}
+        filled = {n.split("/")[0] for n in self._folder.matching(f"batch={wanted}/ingest_date=*")}
+        paths = [f"{self.path}/{name}" for name in sorted(done & filled)]
         if not paths:
             return self.spark.createDataFrame([], schema)
         rows = self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
         return rows.select(*schema.names)
 
-    def _has_rows(self, batch_id: int) -> bool:
-        return any(n.startswith("ingest_date=") for n in self._folder.names(f"batch={batch_id}"))
-
-    def batches(self) -> list[int]:
-        found = [int(n.split("=")[1]) for n in self._folder.names() if n.startswith("batch=")]
-        return sorted(b for b in found if self.finished(b))
-
 
 class FileTables:
     """The bronze and silver tables of one feed."""
@@ -118,7 +114,7 @@ def update(spark: SparkSession, feed: FileFeed, ingested_at: Column | None = Non
     """One triggered run: ingest every file that is new since the last run, then stop."""
     tables = FileTables(spark, feed)
     query = (
-        discover(spark, feed.source, feed.max_files, feed.options.get("pathGlobFilter"))
+        discover(spark, feed.source, feed.max_files, feed.options.get("pathGlobFilter"), feed.max_file_age)
         .writeStream.foreachBatch(lambda files, batch_id: tables.apply(files, batch_id, ingested_at))
         .option("checkpointLocation", f"{feed.base}/checkpoints/bronze_cloud_files")
         .trigger(availableNow=True)

@@ -203,14 +203,16 @@ class KeyedTable:
     def _write(self, rows: DataFrame, commit: str) -> list[str]:
         """Write rows that were just reduced per key, by bucket, and name the buckets written.
 
-        The bucket is the hash by which the reducing shuffle placed the rows. Where the shuffle
-        has a multiple of the buckets, each task holds one bucket and writes one file. Otherwise
-        rows are brought together by bucket, with large buckets split and small ones joined. The
-        sort keeps clustered columns together inside each file.
+        The bucket is the hash by which the reducing shuffle placed the rows. Where the number of
+        partitions is a multiple of the buckets, or the other way round, no bucket is spread over
+        more tasks than it needs, and nothing has to move again. Otherwise rows are brought
+        together by bucket, with large buckets split and small ones joined. The sort keeps
+        clustered columns together inside each file.
         """
         bucket = F.pmod(F.hash(*self.keys), F.lit(self.buckets)).cast("int")
         placed = rows.withColumn(BUCKET, bucket)
-        if self._shuffle_partitions() % self.buckets:
+        partitions = self._shuffle_partitions()
+        if partitions % self.buckets and self.buckets % partitions:
             placed = placed.hint("rebalance", BUCKET)
         (
             placed.sortWithinPartitions(BUCKET, *(self.sort_by or self.keys))
