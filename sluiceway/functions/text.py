@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import secrets
 from datetime import datetime, timezone
 
 from pyspark.sql import Column
@@ -44,4 +44,4 @@ def json_value(col: Column) -> Column:
 def new_run_id(now: datetime | None = None) -> str:
     """``yyyyMMdd'T'HHmmss'Z'-<8 hex>``; made once per run."""
     moment = now or datetime.now(timezone.utc)
-    return moment.strftime("%Y%m%dT%H%M%SZ") + "-" + uuid.uuid4().hex[:8]
+    return f"{moment:%Y%m%dT%H%M%SZ}-{secrets.token_hex(4)}"

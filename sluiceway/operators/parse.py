@@ -14,10 +14,11 @@ def enrich_responses(landing: DataFrame, ingested_at: Column | None = None) -> D
     A body that is not JSON gives NULL instead of failing the batch; the raw text stays.
     """
     stamp = F.current_timestamp() if ingested_at is None else ingested_at
-    return (
-        landing.withColumn("_ingested_at", stamp)
-        .withColumn("ingest_date", F.to_date("_ingested_at"))
-        .withColumn("response_variant", F.try_parse_json("response_body"))
+    return landing.select(
+        "*",
+        stamp.alias("_ingested_at"),
+        F.to_date(stamp).alias("ingest_date"),
+        F.try_parse_json("response_body").alias("response_variant"),
     )
 
 

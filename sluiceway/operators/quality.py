@@ -28,6 +28,7 @@ class Expectation:
         return F.coalesce(F.expr(self.condition), F.lit(False))
 
 
+# Names, conditions and actions of the expectations.
 BRONZE_RESPONSES = (
     Expectation("has_endpoint", "endpoint IS NOT NULL"),
     Expectation("nonempty_success_body", "response_body IS NULL OR length(response_body) > 0"),

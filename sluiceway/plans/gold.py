@@ -19,10 +19,6 @@ def recent(df: DataFrame, as_of: Column | str | None = None, days: int = HEALTH_
     return df.filter(F.col("ingest_date") >= F.date_sub(today, days))
 
 
-def _tally(condition: Column) -> Column:
-    return F.sum(F.when(condition, 1).otherwise(0))
-
-
 def endpoint_health(bronze: DataFrame, as_of: Column | str | None = None, corrected: bool = False) -> DataFrame:
     """Freshness, volume and errors per endpoint.
 
@@ -33,19 +29,19 @@ def endpoint_health(bronze: DataFrame, as_of: Column | str | None = None, correc
     measures = [
         F.max("fetched_at").alias("last_fetched_at"),
         F.count(F.lit(1)).alias("total_calls"),
-        _tally(status.between(200, 299)).alias("success_count"),
-        _tally(status.between(400, 599)).alias("error_count"),
-        _tally(F.col("error_message").isNotNull()).alias("network_error_count"),
+        F.count_if(status.between(200, 299)).alias("success_count"),
+        F.count_if(status.between(400, 599)).alias("error_count"),
+        F.count_if(F.col("error_message").isNotNull()).alias("network_error_count"),
         F.avg(F.length("response_body")).alias("avg_body_bytes"),
     ]
     if corrected:
         failed = F.col("error_message").isNotNull() & (status.isNull() | (status >= 500))
         measures += [
-            _tally(failed).alias("server_or_transport_error_count"),
+            F.count_if(failed).alias("server_or_transport_error_count"),
             F.avg(F.octet_length("response_body")).alias("avg_body_octets"),
         ]
-    rate = F.when(F.col("total_calls") > 0, F.col("success_count") / F.col("total_calls"))
-    return recent(bronze, as_of).groupBy("endpoint").agg(*measures).withColumn("success_rate", rate)
+    counted = recent(bronze, as_of).groupBy("endpoint").agg(*measures)
+    return counted.select("*", F.try_divide("success_count", "total_calls").alias("success_rate"))
 
 
 def records_per_day(silver: DataFrame) -> DataFrame:

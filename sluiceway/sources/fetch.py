@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.functions.text import ERROR_TEXT_CHARS
+from sluiceway.functions.text import ERROR_TEXT_CHARS, none_if_empty
 from sluiceway.sources.landing import LANDING_SCHEMA, append_landing
 
 # (method, path, JSON body or None, headers) -> (status, text); raises on transport errors.
@@ -78,66 +78,84 @@ HELD_ROWS, HELD_CHARS = 2000, 16_000_000
 
 
 @dataclass(frozen=True)
-class _Fetcher:
-    """What one task needs to turn specs into landing rows; travels to the executors."""
+class _Caller:
+    """Sends the requests of one task, with retries; travels to the executors."""
 
     transport: Transport
-    run_id: str
     policy: RetryPolicy
     threads: int
     sleep: Callable[[float], None]
     now: Callable[[], datetime]
 
-    def row(self, spec: dict) -> tuple:
-        path = spec["path"].lstrip("/")
-        endpoint = spec.get("name") or spec["path"]
-        method = (spec.get("method") or "GET").upper()
-        attempt = 0
-        while True:
-            attempt += 1
+    def once(self, request: dict) -> tuple[int, str]:
+        headers = dict(request["headers"] or {})
+        status, text = self.transport(request["method"], request["url"], request["body"], headers)
+        if status >= 500:
+            raise TransientHttpError(f"HTTP {status} on {request['url']}")
+        return status, text
+
+    def answer(self, request: dict) -> tuple:
+        """(endpoint, url, status, text, problem, fetched_at, attempts) of one request."""
+        who = (request["endpoint"], request["url"])
+        for attempt in range(1, self.policy.attempts + 1):
+            if attempt > 1:
+                self.sleep(self.policy.wait(attempt - 1))
             try:
-                headers = dict(spec.get("headers") or {})
-                status, text = self.transport(method, path, spec.get("body"), headers)
-                if status >= 500:
-                    raise TransientHttpError(f"HTTP {status} on {path}")
-            except Exception as problem:
-                if attempt < self.policy.attempts:
-                    self.sleep(self.policy.wait(attempt))
-                    continue
-                return (endpoint, path, None, None, repr(problem), self.now(), self.run_id, attempt)
-            good = 200 <= status < 300
-            error = None if good else f"HTTP {status}: {text[:ERROR_TEXT_CHARS]}"
-            return (endpoint, path, status, text if good else None, error, self.now(), self.run_id, attempt)
+                return (*who, *self.once(request), None, self.now(), attempt)
+            except Exception as raised:  # whatever the transport raises is a failed attempt
+                problem = repr(raised)
+        return (*who, None, None, problem, self.now(), self.policy.attempts)
+
+    def answers(self, requests: Iterator[dict]) -> Iterator[tuple]:
+        """Answers in the order of the requests, with at most ``threads`` under way."""
+        if self.threads == 1:
+            yield from map(self.answer, requests)
+            return
+        with ThreadPoolExecutor(max_workers=self.threads) as pool:
+            while window := list(islice(requests, self.threads * 8)):
+                yield from pool.map(self.answer, window)
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for row in self._rows(spec for batch in batches for spec in batch.to_pylist()):
+        for row in self.answers(request for batch in batches for request in batch.to_pylist()):
             held.append(row)
             size += len(row[3] or "")
-            # Specs are small but bodies can be large, so what is held is bounded by both.
+            # Requests are small but answers can be large, so what is held is bounded by both.
             if len(held) >= HELD_ROWS or size >= HELD_CHARS:
-                yield _landed(held)
+                yield _arrow(held)
                 held, size = [], 0
         if held:
-            yield _landed(held)
-
-    def _rows(self, specs: Iterator[dict]) -> Iterator[tuple]:
-        """Rows in the order of the specs, with at most ``threads`` requests under way."""
-        if self.threads == 1:
-            yield from map(self.row, specs)
-            return
-        with ThreadPoolExecutor(max_workers=self.threads) as pool:
-            while window := list(islice(specs, self.threads * 8)):
-                yield from pool.map(self.row, window)
-
-
-_ARROW = {"string": pa.string(), "int": pa.int32(), "timestamp": pa.timestamp("us", tz="UTC")}
-
-
-def _landed(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [_ARROW[f.dataType.simpleString()] for f in LANDING_SCHEMA]
-    columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
-    return pa.RecordBatch.from_arrays(columns, names=LANDING_SCHEMA.names)
+            yield _arrow(held)
+
+
+_ANSWER = (
+    "endpoint string, url string, status_code int, text string, problem string, "
+    "fetched_at timestamp, attempts int"
+)
+_ANSWER_ARROW = pa.schema(
+    [
+        ("endpoint", pa.string()), ("url", pa.string()), ("status_code", pa.int32()), ("text", pa.string()),
+        ("problem", pa.string()), ("fetched_at", pa.timestamp("us", tz="UTC")), ("attempts", pa.int32()),
+    ]
+)
+
+
+def _arrow(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), _ANSWER_ARROW.types)]
+    return pa.RecordBatch.from_arrays(columns, schema=_ANSWER_ARROW)
+
+
+def _requests(specs: DataFrame) -> DataFrame:
+    """What is sent and under which name it lands."""
+    given = {c: F.col(c) if c in specs.columns else F.lit(None).cast("string") for c in ("method", "body", "name")}
+    headers = F.col("headers") if "headers" in specs.columns else F.lit(None).cast("map<string,string>")
+    return specs.select(
+        F.coalesce(none_if_empty(given["name"]), "path").alias("endpoint"),
+        F.ltrim("path", F.lit("/")).alias("url"),
+        F.upper(F.coalesce(none_if_empty(given["method"]), F.lit("GET"))).alias("method"),
+        given["body"].alias("body"),
+        headers.alias("headers"),
+    )
 
 
 def fetch_responses(
@@ -153,13 +171,27 @@ def fetch_responses(
     """One landing row per spec, never failing on a single request.
 
     At most ``concurrency`` requests run at once: that many tasks, or fewer tasks with ``threads``
-    each. The result is lazy; each action sends the requests again, and so does a lost task. Land
-    it once with ``land_run``.
+    each. Only the sending is Python; what lands is derived from the answers by Spark. The result
+    is lazy; each action sends the requests again, and so does a lost task. Land it once with
+    ``land_run``.
     """
-    fetcher = _Fetcher(transport, run_id, policy, threads, sleep, now)
+    caller = _Caller(transport, policy, threads, sleep, now)
     tasks = max(1, concurrency // threads)
-    wanted = [c for c in ("path", "method", "body", "headers", "name") if c in specs.columns]
-    return specs.select(*wanted).repartition(tasks).mapInArrow(fetcher, LANDING_SCHEMA)
+    answers = _requests(specs).repartition(tasks).mapInArrow(caller, _ANSWER)
+    good = F.col("status_code").between(200, 299)
+    refused = F.concat(
+        F.lit("HTTP "), F.col("status_code"), F.lit(": "), F.left("text", F.lit(ERROR_TEXT_CHARS))
+    )
+    return answers.select(
+        "endpoint",
+        "url",
+        "status_code",
+        F.when(good, F.col("text")).alias("response_body"),
+        F.when(F.col("problem").isNotNull(), F.col("problem")).when(~good, refused).alias("error_message"),
+        "fetched_at",
+        F.lit(run_id).alias("run_id"),
+        "attempts",
+    )
 
 
 def summarize_run(landed: DataFrame) -> DataFrame:

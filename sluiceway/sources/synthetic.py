@@ -11,13 +11,14 @@ REGIONS = ("north", "south", "east", "west")
 
 def demo_orders(ids: DataFrame, id_column: str = "id", order_ts: Column | None = None) -> DataFrame:
     """Demo orders for given ids."""
-    order_id = F.col(id_column)
-    turn = (order_id % F.lit(len(REGIONS)) + F.lit(1)).cast("int")
-    return ids.select(
-        order_id.alias("order_id"),
-        F.element_at(F.array(*[F.lit(r) for r in REGIONS]), turn).alias("region"),
-        (order_id * F.lit(10.5)).cast("double").alias("amount"),
-        (F.current_timestamp() if order_ts is None else order_ts).alias("order_ts"),
+    stamp = F.current_timestamp() if order_ts is None else order_ts
+    numbered = ids.select(F.col(id_column).alias("order_id"), stamp.alias("order_ts"))
+    regions = F.array(*map(F.lit, REGIONS))
+    return numbered.select(
+        "order_id",
+        F.get(regions, F.pmod("order_id", F.lit(len(REGIONS))).cast("int")).alias("region"),
+        F.expr("order_id * 10.5D").alias("amount"),
+        "order_ts",
     )
 
 

@@ -10,7 +10,7 @@ from sluiceway.sources.fetch import (
     FetchFailed,
     HttpTransport,
     RetryPolicy,
-    _Fetcher,
+    _Caller,
     _utc_now,
     fetch_responses,
     land_run,
@@ -37,6 +37,9 @@ def never_works(method, path, body, headers):
     raise TimeoutError("slow")
 
 
+REQUEST = {"endpoint": "e", "url": "x", "method": "GET", "body": None, "headers": None}
+
+
 def quiet(seconds):
     return None
 
@@ -75,8 +78,8 @@ def test_waits_double_between_one_and_ten_seconds():
     policy = RetryPolicy()
     assert [policy.wait(n) for n in range(1, 7)] == [1, 2, 4, 8, 10, 10]
     slept = []
-    fetcher = _Fetcher(never_works, "r", policy, 1, slept.append, _utc_now)
-    assert fetcher.row({"path": "/x"})[7] == 4 and slept == [1, 2, 4]
+    caller = _Caller(never_works, policy, 1, slept.append, _utc_now)
+    assert caller.answer(REQUEST)[-1] == 4 and slept == [1, 2, 4]
 
 
 def test_a_retry_can_succeed():
@@ -86,8 +89,8 @@ def test_a_retry_can_succeed():
         calls.append(path)
         return (500, "") if len(calls) == 1 else (200, "fine")
 
-    row = _Fetcher(second_time, "r", RetryPolicy(), 1, quiet, _utc_now).row({"path": "//x"})
-    assert row[:5] == ("//x", "x", 200, "fine", None) and row[7] == 2
+    row = _Caller(second_time, RetryPolicy(), 1, quiet, _utc_now).answer(REQUEST)
+    assert row[:5] == ("e", "x", 200, "fine", None) and row[-1] == 2
 
 
 def test_a_good_run_lands_once(spark, tmp_path):
