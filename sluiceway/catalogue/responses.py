@@ -24,6 +24,7 @@ from sluiceway.session import scratch_path
 from sluiceway.sources.fetch import fetch_responses, land_run, summarize_run
 from sluiceway.sources.landing import append_landing, read_landing
 from sluiceway.streaming import responses as stream
+from sluiceway.streaming.count_view import CountView
 from sluiceway.streaming.keyed_table import KeyedTable
 
 AS_OF = "2024-01-30"
@@ -212,17 +213,13 @@ def api_documents_per_day(spark, sf_dir):
 def api_records_per_day_incremental(spark, sf_dir):
     """Counts refreshed from the row-level changes of each of three batches, never recounted."""
     rows = quality.drop_violations(explode_records(bronze(spark, sf_dir)), quality.SILVER_RECORDS)
-    silver = KeyedTable(spark, scratch_path(spark, "records"), RECORD_KEYS, SEQUENCE, buckets=8)
-    day, by = F.dayofmonth("ingest_date"), ["ingest_date", "endpoint"]
-    counts, before = None, None
+    base = scratch_path(spark, "records")
+    silver = KeyedTable(spark, f"{base}/silver", RECORD_KEYS, SEQUENCE, buckets=8)
+    view = CountView(spark, f"{base}/gold", silver, ["ingest_date", "endpoint"])
+    day = F.dayofmonth("ingest_date")
     for batch, days in enumerate((day < 11, day.between(11, 20), day > 20)):
-        after = silver.upsert(rows.filter(days), "incremental", batch)
-        changes = silver.changes(before, after)
-        if counts is None:
-            counts = gold.records_per_day(silver.read(after))
-        else:
-            counts = gold.refresh_counts(counts, changes, by)
-        before = after
+        silver.upsert(rows.filter(days), "incremental", batch)
+        counts = view.refresh()
     return counts
 
 

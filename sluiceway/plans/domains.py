@@ -13,6 +13,8 @@ from sluiceway.plans import gold
 from sluiceway.plans.tables import refresh_view
 from sluiceway.sources.fetch import RetryPolicy, Transport, fetch_responses, land_run
 from sluiceway.streaming import files, responses
+from sluiceway.streaming.count_view import CountView
+from sluiceway.streaming.keyed_table import KeyedTable
 
 
 def run_responses(
@@ -33,17 +35,24 @@ def run_responses(
     bronze = responses.read_bronze(spark, feed)
     health = gold.endpoint_health(bronze, as_of, corrected=True)
     refresh_view(health, f"{feed.base}/gold_api_endpoint_health", ["endpoint"])
-    daily = gold.records_per_day(silver.read())
-    refresh_view(daily, f"{feed.base}/gold_api_records_per_day", ["ingest_date"])
+    records_per_day(spark, feed, silver).refresh()
     return landed
 
 
+def records_per_day(spark: SparkSession, feed: ResponseFeed, silver: KeyedTable | None = None) -> CountView:
+    """Current rows by day and endpoint, kept up to date from the changes of silver."""
+    table = silver or responses.silver_table(spark, feed)
+    return CountView(spark, f"{feed.base}/gold_api_records_per_day", table, ["ingest_date", "endpoint"])
+
+
 def run_files(spark: SparkSession, feed: FileFeed, as_of: Column | str | None = None) -> files.FileTables:
     """Ingest new files and bring silver and both gold tables up to date."""
     tables = files.update(spark, feed)
     health = gold.files_health(tables.bronze(), as_of, corrected=True)
     refresh_view(health, f"{feed.base}/gold_files_ingestion_health", ["ingest_date"])
-    if not feed.dedup_keys or tables.keyed().version() is not None:
-        daily = gold.rows_per_day(tables.silver())
-        refresh_view(daily, f"{feed.base}/gold_files_rows_per_day", ["ingest_date"])
+    daily = f"{feed.base}/gold_files_rows_per_day"
+    if not feed.dedup_keys:
+        refresh_view(gold.rows_per_day(tables.silver()), daily, ["ingest_date"])
+    elif tables.keyed().version() is not None:
+        CountView(spark, daily, tables.keyed(), ["ingest_date"]).refresh()
     return tables

@@ -62,6 +62,10 @@ class KeyedTable:
     def commit(self, version: int) -> dict:
         return json.loads(self._folder.read(f"commits/{version:010d}.json"))
 
+    def has(self, version: int) -> bool:
+        """Whether a version can still be read."""
+        return self._folder.exists(f"commits/{version:010d}.json")
+
     def meta(self, version: int | None = None) -> dict:
         """What the writer stored with a version, such as a watermark."""
         version = self.version() if version is None else version

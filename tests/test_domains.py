@@ -1,7 +1,7 @@
 import json
 
 from sluiceway.config import FileFeed, ResponseFeed
-from sluiceway.plans.domains import run_files, run_responses
+from sluiceway.plans.domains import records_per_day, run_files, run_responses
 from sluiceway.sources.control import specs_from_rows
 from sluiceway.sources.relational import schema_specs
 from sluiceway.sources.synthetic import seed_demo
@@ -39,8 +39,9 @@ def test_records_domain_twice(spark, tmp_path):
     specs = specs_from_rows(spark, [{"path": "/posts"}, {"path": "/users"}, {"path": "/broken"}])
     for _ in range(2):
         assert run_responses(spark, feed, specs, catalogue_service, sleep=quiet)["success"] == 2
-    daily = spark.read.parquet(f"{feed.base}/gold_api_records_per_day")
-    assert {r["endpoint"]: r["record_count"] for r in daily.collect()} == {"/posts": 100, "/users": 10}
+    view = records_per_day(spark, feed)
+    assert {r["endpoint"]: r["record_count"] for r in view.read().collect()} == {"/posts": 100, "/users": 10}
+    assert view.version() == view.table.version() and view.full().exceptAll(view.read()).count() == 0
     health = {r["endpoint"]: r for r in spark.read.parquet(f"{feed.base}/gold_api_endpoint_health").collect()}
     assert health["/posts"]["total_calls"] == 2 and health["/posts"]["success_rate"] == 1.0
     assert health["/broken"]["error_count"] == 2 and health["/broken"]["server_or_transport_error_count"] == 0
@@ -67,7 +68,8 @@ def test_files_domain(spark, tmp_path):
     run_files(spark, feed)
     seed_demo(spark, feed.source)
     run_files(spark, feed)
-    assert spark.read.parquet(f"{feed.base}/gold_files_rows_per_day").first()["record_count"] == 100
+    daily = spark.read.parquet(f"{feed.base}/gold_files_rows_per_day")
+    assert daily.first()["record_count"] == 100
     assert spark.read.parquet(f"{feed.base}/gold_files_ingestion_health").first()["files_ingested"] == 2
 
 

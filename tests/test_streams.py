@@ -7,6 +7,7 @@ from sluiceway.config import ResponseFeed
 from sluiceway.plans import gold
 from sluiceway.sources.landing import LANDING_SCHEMA, append_landing
 from sluiceway.streaming import responses as stream
+from sluiceway.streaming.count_view import CountView
 from sluiceway.streaming.events import read_events
 from sluiceway.streaming.keyed_table import KeyedTable
 
@@ -110,14 +111,22 @@ moves = st.lists(
 @given(moves)
 def test_incremental_counts_equal_a_full_count(spark, tmp_path_factory, batches):
     table = KeyedTable(spark, str(tmp_path_factory.mktemp("counts") / "t"), ["record"], ["seq"], buckets=2, max_deltas=1)
-    counts = spark.createDataFrame([], "ingest_date int, endpoint string, record_count bigint")
-    before = None
+    view = CountView(spark, str(tmp_path_factory.mktemp("counts") / "v"), table, ["ingest_date", "endpoint"])
     for number, batch in enumerate(batches):
-        rows = spark.createDataFrame(batch, "record int, seq int, ingest_date int, op string").withColumn("endpoint", F.lit("/e"))
-        after = table.upsert(rows, "q", number, "op = 'd'")
-        counts = gold.refresh_counts(counts, table.changes(before, after), ["ingest_date", "endpoint"])
-        # A real refresh stores its result; here the rows are few enough to carry over.
-        counts = spark.createDataFrame(counts.collect(), counts.schema)
-        before = after
+        rows = spark.createDataFrame(batch, "record int, seq int, ingest_date int, op string")
+        table.upsert(rows.withColumn("endpoint", F.lit("/e")), "q", number, "op = 'd'")
+        counts = view.refresh()
+        assert view.version() == table.version()
         full = gold.records_per_day(table.read())
         assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_counts_start_over_when_their_version_has_expired(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["record"], ["seq"], buckets=2)
+    view = CountView(spark, str(tmp_path / "v"), table, ["day"])
+    for number in range(3):
+        table.upsert(spark.createDataFrame([(number, 1, number % 2)], "record int, seq int, day int"), "q", number)
+        if number == 0:
+            view.refresh()
+    table.expire(keep=1)
+    assert {r["day"]: r["record_count"] for r in view.refresh().collect()} == {0: 2, 1: 1}
