@@ -40,7 +40,8 @@ def start_bronze(
 ) -> StreamingQuery:
     """Append what is new in landing to bronze, then stop.
 
-    Partitioned by day, so that the rolling health window reads only its days.
+    Partitioned by day, so that the rolling health window reads only its days. A stream cannot
+    sort its rows, so clustering by endpoint is left to silver and gold.
     """
     landing = stream_landing(spark, feed.landing, schema, max_files)
     bronze = enrich_responses(landing, ingested_at)
