@@ -336,8 +336,7 @@ def unparseable_bodies(spark, sf_dir):
             F.lit(origin).alias("origin"), F.col(column).alias("response_body")
         )
         bodies = part if bodies is None else bodies.unionByName(part)
-    parsed = bodies.withColumn("response_variant", F.try_parse_json("response_body"))
-    return parsed.groupBy("origin").agg(
+    return bodies.groupBy("origin").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(~quality.UNPARSEABLE.holds()).alias("violations")
     )
 

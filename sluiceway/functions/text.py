@@ -36,9 +36,20 @@ def json_string(col: Column) -> Column:
     return F.when(col.isNotNull(), F.substring(quoted, F.lit(2), F.length(quoted) - 2))
 
 
-def json_value(col: Column) -> Column:
+def is_json_sql(column: str) -> str:
+    """SQL condition: the whole text is one JSON value.
+
+    ``try_parse_json`` reads the first value and lets anything follow it, as in ``42 apples``. The
+    text is therefore parsed inside an array, before its own hash: the hash comes second only if
+    the text is exactly one value.
+    """
+    wrapped = f"try_parse_json(concat('[', {column}, ',\"', md5({column}), '\"]'))"
+    return f"coalesce(try_variant_get({wrapped}, '$[1]', 'string') = md5({column}), false)"
+
+
+def json_value(column: str) -> Column:
     """The text itself where it is JSON, else the text as a JSON string."""
-    return F.when(F.try_parse_json(col).isNotNull(), col).otherwise(json_string(col))
+    return F.when(F.expr(is_json_sql(column)), F.col(column)).otherwise(json_string(F.col(column)))
 
 
 def new_run_id(now: datetime | None = None) -> str:

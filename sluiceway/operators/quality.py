@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from sluiceway.functions.text import is_json_sql
+
 
 class ExpectationFailed(RuntimeError):
     """A condition with the action ``fail`` was violated."""
@@ -43,9 +45,10 @@ SILVER_DOCUMENTS = (
     Expectation("body_was_parseable", "response_variant IS NOT NULL"),
 )
 SILVER_FILES = (Expectation("no_schema_drift", "_rescued_data IS NULL"),)
-# Seen on bronze, before the silver parse leaves such bodies out.
+# Seen on bronze, before the silver parse leaves such bodies out. Stricter than that parse, which
+# lets text follow the first value.
 UNPARSEABLE = Expectation(
-    "unparseable_responses", "response_body IS NULL OR response_variant IS NOT NULL"
+    "unparseable_responses", f"response_body IS NULL OR {is_json_sql('response_body')}"
 )
 
 

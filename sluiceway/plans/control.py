@@ -26,19 +26,19 @@ def compile_specs(control: DataFrame) -> DataFrame:
     """One row per enabled endpoint: domain, full path, method, body as JSON text, settings."""
     params = stripped(F.col("params"))
     method = F.upper(stripped(F.col("method")))
-    body = none_if_empty(stripped(F.col("body")))
+    rows = usable_rows(control).filter("is_enabled").withColumn("body", none_if_empty(stripped(F.col("body"))))
 
     def setting(name: str, default: str) -> Column:
         value = F.lower(stripped(F.col(name)))
         return F.when(~value.isin("", default), value)
 
-    return usable_rows(control).filter("is_enabled").select(
+    return rows.select(
         "row_no",
         "domain",
         "endpoint_name",
         F.when(params != "", F.concat_ws("?", "path", params)).otherwise(F.col("path")).alias("path"),
         F.when(method == "", "GET").otherwise(method).alias("method"),
-        json_value(body).alias("body"),
+        json_value("body").alias("body"),
         none_if_empty(stripped(F.col("schedule"))).alias("schedule"),
         setting("auth_mode", DEFAULT_AUTH_MODE).alias("auth_mode"),
         setting("silver_shape", DEFAULT_SILVER_SHAPE).alias("silver_shape"),

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from sluiceway.functions.text import is_json_sql
 from sluiceway.operators.parse import enrich_responses, explode_records, select_documents
 
 # body, record ids, whether try_parse_json gives a value
@@ -71,3 +72,14 @@ def test_variant_survives_parquet_and_cannot_be_grouped(spark, bronze, tmp_path)
     assert back.selectExpr("response_variant:n.x[1]::int AS x").filter("x IS NOT NULL").collect() == [(2,)]
     with pytest.raises(AnalysisException):
         back.groupBy("response_variant").count()
+
+
+def test_only_whole_texts_count_as_json(spark):
+    texts = [
+        *[(body, parsed) for body, _, parsed in TRUTH if body is not None],
+        ("42 apples", False), ('{"a":1} x', False), ("[1] [2]", False), ("1,2", False), ("1] [2", False),
+        ('{"a":1}{"b":2}', False), (" [1, {}] \n", True), ("-1.5e3", True), ('"a\\"b"', True), ("]", False),
+    ]
+    df = spark.createDataFrame(texts, "body string, whole boolean")
+    wrong = df.filter(F.expr(is_json_sql("body")) != F.col("whole")).collect()
+    assert wrong == []
