@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -46,6 +48,11 @@ def discover(
     return reader.load(path).select("path", "modificationTime", "length")
 
 
+def _exactly(path: str) -> str:
+    """The path as a pattern that matches only itself."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 class SchemaRegistry:
     """The columns a feed has had so far. Columns are added, never retyped."""
 
@@ -140,7 +147,8 @@ def _csv_groups(spark, paths, known, options) -> list[_Group]:
     heads = lines.groupBy("file").agg(F.min_by("value", "at").alias("head"))
     by_head: dict[str, list[str]] = {}
     for row in heads.orderBy("file").collect():  # one row per file of the batch
-        by_head.setdefault(row["head"], []).append(row["file"])
+        # Lineage paths are percent-encoded.
+        by_head.setdefault(row["head"], []).append(_exactly(unquote(row["file"])))
     names = {f.name.lower() for f in known}
     groups = []
     for members in by_head.values():
@@ -236,7 +244,8 @@ def read_files(
 ) -> DataFrame:
     """New files in the registered columns, with rescued values and lineage."""
     options = {k: str(v) for k, v in (options or {}).items() if k != "pathGlobFilter"}
-    groups = _READERS[file_format](spark, list(paths), registry.current(), options)
+    exact = [_exactly(path) for path in paths]
+    groups = _READERS[file_format](spark, exact, registry.current(), options)
     for group in groups:
         schema = registry.evolve(group.schema)
     frames = []

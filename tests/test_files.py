@@ -115,6 +115,16 @@ def test_csv_drops_with_other_column_order(spark, tmp_path):
     assert late["2024-02-29"]["id"] == 7
 
 
+@pytest.mark.parametrize("file_format", ["csv", "json"])
+def test_file_names_are_taken_literally(spark, tmp_path, file_format):
+    feed = feed_at(tmp_path, file_format=file_format)
+    names = ["a b", "x[1]", "c+d", "e%20f", "{g,h}", "star*"]
+    for number, name in enumerate(names):
+        text = f"id\n{number}\n" if file_format == "csv" else f'{{"id": {number}}}\n'
+        text_drop(feed, f"{name}.{file_format}", text)
+    assert sorted(r["id"] for r in stream.update(spark, feed).bronze().collect()) == list(range(len(names)))
+
+
 def test_an_old_file_that_comes_late_is_read_and_loses(spark, tmp_path):
     feed = feed_at(tmp_path, dedup_keys=("id",))
     drop(spark.sql("SELECT 1 AS id, 'new' AS v"), feed, "a")
