@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -48,3 +49,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(shared_folder(spark), "sluiceway", f"{label}-{uuid.uuid4().hex}")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Python workers load functions of the package by name, so they get a copy, once a session."""
+    context = spark.sparkContext
+    if spark.conf.get("sluiceway.shipped", None) == context.applicationId:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="sluiceway-")
+    context.addPyFile(shutil.make_archive(os.path.join(folder, "sluiceway"), "zip", root, "sluiceway"))
+    spark.conf.set("sluiceway.shipped", context.applicationId)
