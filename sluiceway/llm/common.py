@@ -99,8 +99,10 @@ class Memo:
 
 def varied(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices that gather slices of different lengths one after another."""
-    ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if total + (int(starts.max()) if len(starts) else 0) < 1 << 31 else np.int64
+    return np.repeat((starts - (ends - lengths)).astype(kind), lengths) + np.arange(total, dtype=kind)
 
 
 def components(edges: DataFrame, label: str, rounds: int = 100) -> DataFrame:

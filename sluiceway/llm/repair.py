@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import functools
 import json
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -24,12 +23,13 @@ from sluiceway.llm.common import Batches, Memo, create_file, picked, pieces, raw
 from sluiceway.session import scratch_path
 
 GROUP_BYTES = 4 << 20
-MEMO_WORDS = 300_000
+MEMO_WORDS = 400_000
 #: Ids per shard: a shard is cut after the document that reaches this.
 SHARD_IDS = 1 << 20
-#: A pair is replaced in a round if the shard holds it this often; rounds end with the rules.
+#: A pair is replaced in a round if the shard holds it this often. Rounds go on until one
+#: shortens the shard by less than 3 %.
 LEAST_COUNT = 24
-ROUNDS = 4
+ROUNDS = 8
 _SLOTS = 18
 _VERSION = 1
 
@@ -47,12 +47,13 @@ class WordTokenizer:
 
         self.library = Tokenizer.from_file(path)
         layout = json.loads(self.library.to_str())
-        self.special = re.compile("|".join(re.escape(t["content"]) for t in layout["added_tokens"]) or r"(?!)").search
+        self.special = [t["content"].encode() for t in layout["added_tokens"]]
         split = layout["pre_tokenizer"]["pretokenizers"][0]
         if split["type"] != "Split" or not split["invert"] or split["behavior"] != "Removed":
             raise ValueError("the tokenizer does not drop white space between words")
         self.size = self.library.get_vocab_size()
         self.find = regex.compile(split["pattern"]["Regex"]).findall
+        self.letters_stay = self.find("abé") == ["abé"]  # a word of letters is then one part
         # Byte-level vocabularies write a byte as the character of its number if that is visible, else
         # as the next one from 256 on.
         visible = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
@@ -64,28 +65,40 @@ class WordTokenizer:
         """Ids of each text, as bytes of 32-bit integers."""
         self.words.rotate()
         self.parts.rotate()
-        cut = [text.split() for text in texts]
-        for word in self.words.missing(word for words in cut for word in words):
-            self.words.young[word] = self._word(word.decode("utf-8", "replace"))
+        cut = [self._lowered(text).split() for text in texts]
+        self._learn(self.words.missing(word for words in cut for word in words))
         known = self.words.young.__getitem__
         return [b"".join(map(known, words)) for words in cut]
 
-    def _word(self, word: str) -> bytes:
-        if self.special(word):
-            return array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
-        if word.isascii() or (max(word) < "\u0250" and "\u0130" not in word):
-            word = word.lower()  # Latin letters are composed already, and each has one lower-case form
-        else:
-            word = self.library.normalizer.normalize_str(word)
-        return b"".join([self.parts.young.get(part) or self._part(part) for part in self.find(word)])
-
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.old.get(part)
-        if ids is None:
-            mapped = part.encode().decode("latin-1").translate(self.byte_level)
-            ids = array("I", [token.id for token in self.library.model.tokenize(mapped)]).tobytes()
-        self.parts.young[part] = ids
-        return ids
+    def _lowered(self, text: bytes) -> bytes:
+        """A-Z in lower case, as the tokenizer will have it, unless that could make a special token."""
+        lower = text.lower()
+        return text if any(token in lower for token in self.special) else lower
+
+    def _learn(self, words: list[bytes]) -> None:
+        known, recent, older = self.words.young, self.parts.young, self.parts.old
+        tokenize, find, normalize = self.library.model.tokenize, self.find, self.library.normalizer.normalize_str
+        for raw in words:
+            word = raw.decode("utf-8", "replace")
+            if self.special and any(token in raw for token in self.special):
+                known[raw] = array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
+                continue
+            plain = word.isascii()
+            if not plain and (max(word) >= "\u0250" or "\u0130" in word):
+                word = normalize(word)
+            else:
+                word = word.lower()  # Latin letters are composed already, and each has one lower-case form
+            found = []
+            for part in [word] if self.letters_stay and word.isalpha() else find(word):
+                ids = recent.get(part)
+                if ids is None:
+                    ids = older.get(part)
+                    if ids is None:
+                        mapped = part if plain and part.isprintable() else part.encode().decode("latin-1").translate(self.byte_level)
+                        ids = array("I", [token.id for token in tokenize(mapped)]).tobytes()
+                    recent[part] = ids
+                found.append(ids)
+            known[raw] = b"".join(found)
 
 
 @functools.lru_cache(maxsize=2)
@@ -131,9 +144,11 @@ def compress(ids: np.ndarray, first: int, rounds: int = ROUNDS, least: int = LEA
         used = key[used]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols = symbols[keep]
+        before, symbols = len(symbols), symbols[keep]
         rules.append(np.stack([used >> np.uint64(32), used & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         made += len(used)
+        if len(symbols) > 0.97 * before:  # what is left is hardly worth another round
+            break
     return symbols.astype(np.uint32), np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 
