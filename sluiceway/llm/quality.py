@@ -119,8 +119,8 @@ def choose(good: np.ndarray, bad: np.ndarray, risk: float, level: float) -> int:
     tests, so that the sequence needs no correction of its own. Of those that hold, the one that
     tells bad from good best is taken, the loosest of equals.
     """
-    above_good = good[::-1].cumsum()[::-1][1:]
-    above_bad = bad[::-1].cumsum()[::-1][1:]
+    above_good = good[::-1].cumsum()[:-1]  # what exceeds the loosest exceeds all of them
+    above_bad = bad[::-1].cumsum()[:-1]
     n_good, n_bad = int(good.sum()), int(bad.sum())
     best, place = 0.0, -1
     for i, (k, caught) in enumerate(zip(above_good.tolist(), above_bad.tolist())):
