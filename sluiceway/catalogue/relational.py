@@ -15,7 +15,7 @@ from sluiceway.operators.changes import (
     open_versions,
     table_changes,
 )
-from sluiceway.plans.relational import ingest_tables
+from sluiceway.plans.relational import RelationalTarget, ingest_tables
 from sluiceway.session import scratch_path
 from sluiceway.sources.relational import (
     TableSpec,
@@ -113,6 +113,29 @@ def append_only_changes(spark, sf_dir):
     return append_only(_orders(spark, sf_dir), "o_orderstatus = 'F'")
 
 
+@query("SELECT event_id, user_id, value, CAST(ts AS DATE) AS day FROM events WHERE event_id % 4 <> 3")
+def append_only_ingest(spark, sf_dir):
+    """Two runs into an append-only target without primary keys; many rows share a cursor value."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value", F.to_date("ts").alias("day"))
+    middle = F.lit("2024-01-15").cast("date")
+    spec = TableSpec("events", (), cursor="day", scd_type="append", delete_when="event_id % 4 = 3")
+    base = scratch_path(spark, "append")
+    for run, seen in enumerate((events.filter(F.col("day") <= middle), events)):
+        target = ingest_tables(spark, base, [spec], lambda name, rows=seen: rows, run)["events"]
+    return target.read().drop("_pulled_at")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber > 1)")
+def hard_delete_after_pull(spark, sf_dir):
+    """A cursor pull followed by one with a snapshot of the keys that are left."""
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate")
+    left = table(spark, sf_dir, "lineitem").filter("l_linenumber > 1").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    target = RelationalTarget(spark, scratch_path(spark, "keys"), TableSpec("orders", ("o_orderkey",), cursor="o_orderdate"))
+    target.run_pull(orders, 0)
+    target.run_pull(orders, 1, key_snapshot=left)
+    return target.read()
+
+
 @query(_latest("o_orderstatus <> 'F'"))
 def soft_delete(spark, sf_dir):
     return current_state(_orders(spark, sf_dir), ["o_custkey"], NEWEST, "o_orderstatus = 'F'")

@@ -257,10 +257,10 @@ FROM (
 """
 )
 def variant_explode_rows(spark, sf_dir):
-    arrays = bronze(spark, sf_dir).filter(F.startswith("response_body", F.lit("[")))
+    bodies = bronze(spark, sf_dir).select("event_id", "response_variant")
     return (
-        explode_variant(arrays.select("event_id", "response_variant"), "response_variant")
-        .filter(F.col("pos").isNotNull())
+        explode_variant(bodies, "response_variant")
+        .filter(F.col("pos").isNotNull() & F.col("key").isNull())  # the fields of an object have a key
         .select(
             "event_id", "pos",
             variant_field("value", "id", "bigint").alias("id"),

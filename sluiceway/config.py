@@ -41,7 +41,6 @@ class FileFeed:
     dedup_keys: tuple[str, ...] = ()
     dedup_order_by: str = "source_file_modified_at"
     max_files: int = 1000
-    max_file_age: str = "36500d"
     buckets: int | None = None
     options: dict = field(default_factory=dict)
 

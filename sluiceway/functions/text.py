@@ -39,12 +39,13 @@ def json_string(col: Column) -> Column:
 def is_json_sql(column: str) -> str:
     """SQL condition: the whole text is one JSON value.
 
-    ``try_parse_json`` reads the first value and lets anything follow it, as in ``42 apples``. The
-    text is therefore parsed inside an array, before its own hash: the hash comes second only if
-    the text is exactly one value.
+    A parser may read the first value and let anything follow it, as in ``42 apples``. The text is
+    therefore parsed inside an array, before its own hash: there are two values and the hash is the
+    second only if the text is exactly one value. Elements are taken as text, so that an object
+    that repeats a key is fine.
     """
-    wrapped = f"try_parse_json(concat('[', {column}, ',\"', md5({column}), '\"]'))"
-    return f"coalesce(try_variant_get({wrapped}, '$[1]', 'string') = md5({column}), false)"
+    wrapped = f"from_json(concat('[', {column}, ',\"', md5({column}), '\"]'), 'array<string>')"
+    return f"coalesce(size({wrapped}) = 2 AND {wrapped}[1] = md5({column}), false)"
 
 
 def json_value(column: str) -> Column:

@@ -80,7 +80,7 @@ def _next_in_key(
     sequences, chosen by the hash of key and sequence, starts a new piece of its key, and the
     window runs inside pieces. What follows the last row of a piece is the start of the next one,
     which is known. There are about ``rows / piece_rows`` starts in all, whatever the keys look
-    like; they are few enough to broadcast. A key with few rows hardly ever has one.
+    like. A key with few rows hardly ever has one.
     """
     here = F.struct(F.col(sequence).alias("v"))
     starts = F.pmod(F.xxhash64(*keys, sequence), F.lit(piece_rows)) == 0
@@ -93,7 +93,7 @@ def _next_in_key(
     found = _count_up_to(F.col("_cuts"), F.col("_steps"), F.col(sequence))
     inside = F.col("_cuts").isNull() | F.col(sequence).isNull()
     pieces = (
-        df.join(F.broadcast(cuts), list(keys), "left")
+        df.join(cuts, list(keys), "left")
         .withColumn("_piece", F.when(inside, 0).otherwise(found))
         .withColumn("_beyond", F.get("_cuts", F.col("_piece")))
         .drop("_cuts", "_steps")

@@ -2,23 +2,51 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.operators.changes import DELETED, append_only, hard_deleted, history
+from sluiceway.operators.changes import DELETED, append_only, hard_deleted, history, mark_deletes, missing_keys
 from sluiceway.sources.relational import (
     TableSpec,
-    decode_watermark,
-    encode_watermark,
-    next_watermark,
     pull,
+    stored_watermark,
+    watermark_column,
 )
+from sluiceway.storage import Folder
 from sluiceway.streaming.keyed_table import KeyedTable
 
 
+class AppendedRuns:
+    """What an append-only target holds: the rows of each run as they came, a folder per run.
+
+    A run counts once its note is published; the note names the folder of the attempt that wrote it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._notes = Folder(spark, f"{path}/runs")
+
+    def last(self) -> dict | None:
+        names = self._notes.names()
+        return json.loads(self._notes.read(names[-1])) if names else None
+
+    def append(self, rows: DataFrame, run: int, watermark: dict | None) -> None:
+        folder = f"data/run={run}-{uuid.uuid4().hex[:12]}"
+        rows.write.parquet(f"{self.path}/{folder}")
+        self._notes.publish(f"{run:010d}.json", json.dumps({"run": run, "folder": folder, "watermark": watermark}))
+
+    def read(self) -> DataFrame:
+        notes = [json.loads(self._notes.read(name)) for name in self._notes.names()]
+        if not notes:
+            raise ValueError(f"{self.path} has no run yet")
+        return self.spark.read.option("mergeSchema", "true").parquet(*[f"{self.path}/{n['folder']}" for n in notes])
+
+
 class RelationalTarget:
     """What one source table is ingested into.
 
@@ -29,9 +57,10 @@ class RelationalTarget:
     def __init__(self, spark: SparkSession, base: str, spec: TableSpec, buckets: int | None = None):
         self.spark, self.spec = spark, spec
         self.base = f"{base}/{spec.name}"
-        # Append-only and history targets keep every change, so the sequence belongs to the key.
+        self.appended = AppendedRuns(spark, f"{self.base}/appended")
+        # A history keeps every change, so the sequence belongs to the key.
         keys = list(spec.primary_keys)
-        if spec.scd_type != 1:
+        if spec.scd_type == 2:
             keys = [*keys, self.sequence]
         self.table = KeyedTable(spark, f"{self.base}/state", keys, [self.sequence], buckets=buckets)
 
@@ -39,25 +68,71 @@ class RelationalTarget:
     def sequence(self) -> str:
         return self.spec.cursor or "_pulled_at"
 
-    def watermark(self):
-        return decode_watermark(self.table.meta().get("watermark"))
+    def watermark(self) -> dict | None:
+        """Where the next pull begins: the text of the cursor and its type."""
+        last = self.appended.last() if self.spec.scd_type == "append" else self.table.meta()
+        return (last or {}).get("watermark")
+
+    def done(self, run: int) -> bool:
+        if self.spec.scd_type == "append":
+            last = self.appended.last()
+            return last is not None and last["run"] >= run
+        return self.table.applied(self.spec.name) >= run
+
+    def left_out(self, run: int) -> int:
+        """Rows of a staged run that no state or history can hold, since a key or the order is NULL."""
+        if self.spec.scd_type == "append":
+            return 0
+        return missing_keys(self.spark.read.parquet(f"{self.base}/staged/run={run}"), self.table.keys).count()
 
     def apply(self, changes: DataFrame, run: int, delete_when: str | None = None, meta: dict | None = None) -> int:
         return self.table.upsert(
             changes, self.spec.name, run, delete_when or self.spec.delete_when, meta=meta
         )
 
-    def run_pull(self, source: DataFrame, run: int) -> int:
-        """One scheduled run: rows past the watermark, or the whole table without a cursor."""
-        if self.table.applied(self.spec.name) >= run:
+    def run_pull(self, source: DataFrame, run: int, key_snapshot: DataFrame | None = None) -> int | None:
+        """One scheduled run: rows past the watermark, or the whole table without a cursor.
+
+        A pull does not see rows that are gone. ``key_snapshot`` names the keys that the source has
+        now; rows of current state with another key are deleted in the same run.
+        """
+        if key_snapshot is not None and (self.spec.scd_type != 1 or self.spec.cursor is None):
+            raise ValueError("a key snapshot belongs to current state that is pulled by cursor")
+        if self.done(run):
             return self.table.version()
+        if self.spec.scd_type == "append":
+            return self._append(source, run)
         if self.spec.cursor is None:
             return self._reload(source, run)
         staged_path = f"{self.base}/staged/run={run}"
-        pull(source, self.spec.cursor, self.watermark()).write.mode("overwrite").parquet(staged_path)
+        before = self.watermark()
+        pull(source, self.spec.cursor, watermark_column(before)).write.mode("overwrite").parquet(staged_path)
+        staged = self.spark.read.parquet(staged_path)
+        mark = stored_watermark(staged, self.spec.cursor, before)
+        changes = staged
+        if key_snapshot is not None and self.table.version() is not None:
+            gone = hard_deleted(self.table.read(), key_snapshot, self.spec.primary_keys)
+            # A key that comes back later has a greater cursor, one that was pulled just now stays.
+            gone = gone.join(staged.select(*self.spec.primary_keys), list(self.spec.primary_keys), "left_anti")
+            # A delete has the cursor of the row that it removes; the stamp makes it the newer one.
+            marked = gone.withColumn(DELETED, F.lit(True)).withColumn("_ingested_at", F.current_timestamp())
+            own = "_ingested_at" in staged.columns or self.table.meta().get("own_stamp", False)
+            changes = mark_deletes(staged, self.spec.delete_when).unionByName(marked, allowMissingColumns=True)
+            meta = {"watermark": mark, "own_stamp": own, "stamped": True}
+            return self.table.upsert(changes, self.spec.name, run, F.col(DELETED), meta=meta)
+        return self.apply(changes, run, meta={"watermark": mark})
+
+    def _append(self, source: DataFrame, run: int) -> None:
+        """Every pulled row as it came: no key, no reduction, nothing lost to equal or NULL cursors."""
+        before = self.watermark()
+        rows = source.withColumn("_pulled_at", F.lit(run).cast("bigint"))
+        if self.spec.cursor is not None:
+            rows = pull(rows, self.spec.cursor, watermark_column(before))
+        staged_path = f"{self.base}/staged/run={run}"
+        rows.write.mode("overwrite").parquet(staged_path)
         staged = self.spark.read.parquet(staged_path)
-        mark = next_watermark(staged, self.spec.cursor, self.watermark())
-        return self.apply(staged, run, meta={"watermark": encode_watermark(mark)})
+        mark = None if self.spec.cursor is None else stored_watermark(staged, self.spec.cursor, before)
+        self.appended.append(append_only(staged, self.spec.delete_when), run, mark)
 
     def _reload(self, source: DataFrame, run: int) -> int:
         """Without a cursor every run reads the whole table.
@@ -80,13 +155,14 @@ class RelationalTarget:
     def read(self) -> DataFrame:
         """Current state, history or the appended rows, as the spec says."""
         if self.spec.scd_type == 1:
-            return self.table.read()
+            meta = self.table.meta()
+            return self.table.read().drop(*["_ingested_at"] * (meta.get("stamped", False) and not meta["own_stamp"]))
+        if self.spec.scd_type == "append":
+            return self.appended.read()
         rows = self.table.read(with_deleted=True)
-        if self.spec.scd_type == 2:
-            return history(
-                rows.withColumnRenamed("_deleted", "_gone"), self.spec.primary_keys, self.sequence, "_gone"
-            ).drop("_gone")
-        return append_only(rows.withColumnRenamed("_deleted", "_gone"), "_gone").drop("_gone")
+        return history(
+            rows.withColumnRenamed("_deleted", "_gone"), self.spec.primary_keys, self.sequence, "_gone"
+        ).drop("_gone")
 
 
 def ingest_tables(

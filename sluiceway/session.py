@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -40,6 +41,8 @@ def shared_folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("sluiceway.local.dir", None)
+    if not base and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="sluiceway-")
         spark.conf.set("sluiceway.local.dir", base)

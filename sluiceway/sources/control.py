@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.functions.text import BLANKS, stripped
+from sluiceway.functions.text import BLANKS, is_truthy, stripped
 
 # The control-table columns in order; the last three may be absent.
 CONTROL_COLUMNS = (
@@ -52,7 +52,7 @@ def read_control_table(spark: SparkSession, name: str, order_by: str | None = No
 
 def control_slice(control: DataFrame, domain: str) -> DataFrame:
     """The enabled rows of one domain, read when the fetch runs."""
-    return control.filter(F.col("enabled").cast("boolean") & (F.col("domain") == domain))
+    return control.filter(is_truthy(F.col("enabled")) & (stripped(F.col("domain")) == domain.strip(BLANKS)))
 
 
 def specs_from_list(df: DataFrame, column: str) -> DataFrame:
@@ -75,9 +75,9 @@ def specs_from_list(df: DataFrame, column: str) -> DataFrame:
 
 
 def specs_from_json(df: DataFrame, column: str) -> DataFrame:
-    """Specs out of JSON arrays, one row each; ``body`` stays JSON text."""
+    """Specs out of JSON arrays, one row each; ``body`` stays JSON text. A malformed array is an error."""
     others = [c for c in df.columns if c != column]
-    return df.select(*others, F.explode(F.from_json(F.col(column), SPEC_ARRAY)).alias("spec")).select(
+    return df.select(*others, F.explode(F.from_json(F.col(column), SPEC_ARRAY, {"mode": "FAILFAST"})).alias("spec")).select(
         *others, "spec.path", "spec.method", F.to_json("spec.body").alias("body"),
         "spec.headers", "spec.name",
     )

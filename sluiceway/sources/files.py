@@ -26,22 +26,20 @@ def discover(
     path: str,
     max_files: int = 1000,
     pattern: str | None = None,
-    max_age: str = "36500d",
 ) -> DataFrame:
     """A stream of new files below a folder, each exactly once; contents are not read.
 
     ``max_files`` bounds one micro-batch and so the file list the driver holds; a trigger goes on
-    with further batches until every file is in. By default files count as new whatever their
-    modification time; the limit a file stream has of its own leaves out old files that arrive
-    late. A feed that never gets such files may set ``max_age``, which keeps the list of seen files
-    in the driver short.
+    with further batches until every file is in. Files count as new whatever their modification
+    time: the age limit that a file stream has of its own is set beyond any file, since it would
+    leave out old files that arrive late without a trace.
     """
     reader = (
         spark.readStream.format("binaryFile")
         .schema(_LISTING)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
-        .option("maxFileAge", max_age)
+        .option("maxFileAge", "36500d")
     )
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -130,6 +128,9 @@ def _as_text(schema: T.StructType) -> T.StructType:
 def _json_groups(spark, paths, known, options) -> list[_Group]:
     inferred = spark.read.options(**options).json(paths).schema
     named = T.StructType([f for f in inferred if f.name != CORRUPT])
+    if not named.fields:  # not one line is an object: there is nothing but what is broken
+        lines = spark.read.text(paths).withColumnRenamed("value", CORRUPT)
+        return [_Group(paths, named, lines.filter(F.btrim(CORRUPT) != ""))]
     rows = (
         spark.read.options(**options).schema(_as_text(inferred))
         .option("columnNameOfCorruptRecord", CORRUPT).json(paths)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,7 +75,8 @@ def pull(source: DataFrame, cursor: str | None, watermark=None) -> DataFrame:
     """Rows whose cursor moved past the watermark; everything without a cursor or watermark."""
     if cursor is None or watermark is None:
         return source
-    return source.filter(F.col(cursor) > F.lit(watermark))
+    mark = watermark if isinstance(watermark, Column) else F.lit(watermark)
+    return source.filter(F.col(cursor) > mark)
 
 
 def next_watermark(pulled: DataFrame, cursor: str, watermark=None):
@@ -85,13 +85,20 @@ def next_watermark(pulled: DataFrame, cursor: str, watermark=None):
     return watermark if found is None else found
 
 
-def encode_watermark(value):
-    """A watermark as JSON can hold it."""
-    return {"ts": value.isoformat()} if isinstance(value, datetime) else value
+def stored_watermark(pulled: DataFrame, cursor: str, before: dict | None = None) -> dict | None:
+    """The cursor to continue from as JSON can hold it: text and its Spark type."""
+    kind = pulled.schema[cursor].dataType.simpleString()
+    value = F.max(cursor)
+    found = pulled.agg(F.hex(value) if kind == "binary" else value.cast("string")).first()[0]
+    return before if found is None else {"text": found, "type": kind}
 
 
-def decode_watermark(value):
-    return datetime.fromisoformat(value["ts"]) if isinstance(value, dict) else value
+def watermark_column(stored: dict | None) -> Column | None:
+    """A stored watermark in the type it was read with."""
+    if stored is None:
+        return None
+    text = F.lit(stored["text"])
+    return F.unhex(text) if stored["type"] == "binary" else text.cast(stored["type"])
 
 
 def change_feed(

@@ -10,6 +10,8 @@ Where a lake format with MERGE is at hand, ``upsert`` is the one call to replace
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -103,19 +105,8 @@ class KeyedTable:
         return latest_per_key(rows, self.keys, self.sequence_by)
 
     def _mixed(self, commit: dict, buckets: Sequence[str]) -> DataFrame:
-        """Buckets with deltas, one row per key.
-
-        While the deltas are small enough to broadcast, by their size on disk, base rows without a
-        newer rival pass through unshuffled. Else everything is reduced per key.
-        """
-        base, deltas = self._base(commit, buckets), self._deltas(commit, buckets)
-        written = sum(commit["bytes"].get(c, 0) for c in {c for c, _ in deltas})
-        if written > _broadcast_limit(self.spark):
-            return self._newest(self._scan(commit, base + deltas))
-        old, new = self._scan(commit, base), self._scan(commit, deltas)
-        rivals = F.broadcast(new.select(*self.keys))
-        contested = old.join(rivals, self.keys, "left_semi").unionByName(new)
-        return old.join(rivals, self.keys, "left_anti").unionByName(self._newest(contested))
+        """Buckets with deltas, one row per key: reduced before the shuffle, whatever their size."""
+        return self._newest(self._scan(commit, self._base(commit, buckets) + self._deltas(commit, buckets)))
 
     def _load(self, commit: dict, buckets: Sequence[str]) -> DataFrame:
         """The rows of some buckets, one per key, deletes included."""
@@ -142,7 +133,8 @@ class KeyedTable:
         last = self.version() if after is None else after
         new = self.commit(last)
         first = -1 if before is None else before
-        written = [(str(v), b) for v in range(first + 1, last + 1) for b in self.commit(v)["written"]]
+        between = [self.commit(v) for v in range(first + 1, last + 1)]
+        written = [(c["delta"], b) for c in between for b in c["written"]]
         touched = sorted({b for _, b in written})
         keys = self._scan(new, written).select(*self.keys)
 
@@ -180,10 +172,11 @@ class KeyedTable:
         rows = latest_per_key(mark_deletes(changes, delete_when), self.keys, self.sequence_by)
         schema = _merged(T.StructType.fromJson(last["schema"]) if last else None, rows.schema)
         live = {b: list(c) for b, c in last["live"].items()} if last else {}
-        written = self._write(rows, str(version))
+        # Another attempt at this version must not touch these files: only the commit names them.
+        delta = f"{version}-{uuid.uuid4().hex[:12]}"
+        written = self._write(rows, delta)
         for bucket in written:
-            live.setdefault(bucket, []).append(str(version))
-        size = self._folder.size(f"data/commit={version}")
+            live.setdefault(bucket, []).append(delta)
         commit = {
             "version": version,
             "keys": self.keys,
@@ -192,15 +185,13 @@ class KeyedTable:
             "schema": json.loads(schema.json()),
             "live": live,
             "written": written,
-            "bytes": {**(last["bytes"] if last else {}), str(version): size},
+            "delta": delta,
             "applied": {**(last["applied"] if last else {}), query_id: batch_id},
             "meta": {**(last["meta"] if last else {}), **(meta or {})},
         }
         if before_commit:
             before_commit()
         self._fold(commit, [b for b in live if len(live[b]) > self.max_deltas + 1])
-        named = {c for commits in live.values() for c in commits}
-        commit["bytes"] = {c: n for c, n in commit["bytes"].items() if c in named}
         self._folder.publish(f"commits/{version:010d}.json", json.dumps(commit))
         return version
 
@@ -231,7 +222,7 @@ class KeyedTable:
         """Give each bucket one file set. All rows are reduced, which also brings files together."""
         if not buckets:
             return
-        name = f"{commit['version']}f"
+        name = f"{commit['version']}f-{uuid.uuid4().hex[:12]}"
         places = self._base(commit, buckets) + self._deltas(commit, buckets)
         for bucket in self._write(self._newest(self._scan(commit, places)), name):
             commit["live"][bucket] = [name]
@@ -254,21 +245,17 @@ class KeyedTable:
         kept = versions[-keep:]
         used = {c for v in kept for commits in self.commit(v)["live"].values() for c in commits}
         # The own delta of each kept version but the first tells its changes from the one before.
-        used |= {str(v) for v in kept[1:]}
+        used |= {self.commit(v)["delta"] for v in kept[1:]}
         for version in versions[:-keep]:
             self._folder.remove(f"commits/{version:010d}.json")
-        unused = [n for n in self._folder.names("data") if n.split("=")[1] not in used]
+        # Files of versions still to come belong to a write in progress.
+        names = {n: n.split("=")[1] for n in self._folder.names("data")}
+        unused = [n for n, c in names.items() if c not in used and int(re.match(r"\d+", c)[0]) <= kept[-1]]
         for name in unused:
             self._folder.remove(f"data/{name}")
         return unused
 
 
-def _broadcast_limit(spark: SparkSession) -> int:
-    """Bytes Spark itself would broadcast; nothing where that is switched off."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text) if text != "-1" else -1
-
-
 def _merged(known: T.StructType | None, found: T.StructType) -> T.StructType:
     """Columns are added, never retyped."""
     if known is None:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from sluiceway.config import DOCUMENT, ResponseFeed
 from sluiceway.operators import quality
@@ -46,7 +48,9 @@ def start_bronze(
     landing = stream_landing(spark, feed.landing, schema, max_files)
     bronze = enrich_responses(landing, ingested_at)
     rules = (*quality.BRONZE_RESPONSES, quality.UNPARSEABLE)
-    return (
+    listener = BatchCounts(spark, "bronze_api_responses")
+    spark.streams.addListener(listener)
+    query = (
         bronze.observe("bronze_api_responses", *quality.measures(rules))
         .writeStream.format("parquet")
         .partitionBy("ingest_date")
@@ -54,19 +58,43 @@ def start_bronze(
         .trigger(availableNow=True)
         .start(bronze_path(feed))
     )
+    query.batch_counts = listener
+    return query
+
+
+class BatchCounts(StreamingQueryListener):
+    """The observed counts of every batch. A query itself only remembers its latest ones."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.ended = spark, name, threading.Event()
+        self.counts: dict[str, dict[int, dict]] = {}
 
+    def onQueryStarted(self, event) -> None:
+        pass
 
-def bronze_quality(query: StreamingQuery) -> list[tuple]:
-    """Quality events of the finished batches of a bronze stream."""
+    def onQueryProgress(self, event) -> None:
+        found = event.progress.observedMetrics.get(self.name)
+        if found is not None:
+            self.counts.setdefault(str(event.progress.runId), {})[event.progress.batchId] = found.asDict()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.runId) in self.counts:
+            self.ended.set()
+
+
+def bronze_quality(query: StreamingQuery) -> dict[int, list[tuple]]:
+    """Quality events of a bronze stream by batch, once it has ended; no batch is left out."""
+    query.awaitTermination()
     rules = (*quality.BRONZE_RESPONSES, quality.UNPARSEABLE)
-    events = []
-    for progress in query.recentProgress:
-        counts = progress.observedMetrics.get("bronze_api_responses")
-        if counts is not None:
-            events += quality.events(
-                counts.asDict(), "bronze_api_responses", rules, progress.batchId
-            )
-    return events
+    listener = query.batch_counts
+    if query.lastProgress and query.lastProgress.observedMetrics:
+        listener.ended.wait(60)  # events come in order, the end last
+    listener.spark.streams.removeListener(listener)
+    found = listener.counts.get(str(query.runId), {})
+    return {b: quality.events(c, "bronze_api_responses", rules, b) for b, c in sorted(found.items())}
 
 
 def start_silver(
@@ -113,9 +141,7 @@ def update(
     """One triggered run: process everything new, then stop."""
     bronze = start_bronze(spark, feed, schema, ingested_at, max_files)
     bronze.awaitTermination()
-    append_events(
-        spark, f"{feed.base}/quality_events", bronze_quality(bronze), "bronze_api_responses",
-        bronze.lastProgress.batchId if bronze.lastProgress else 0,
-    )
+    for batch_id, found in bronze_quality(bronze).items():
+        append_events(spark, f"{feed.base}/quality_events", found, "bronze_api_responses", batch_id)
     start_silver(spark, feed, max_files).awaitTermination()
     return silver_table(spark, feed)

@@ -174,3 +174,15 @@ def test_avro_without_its_package_says_so(spark, tmp_path):
 def test_unknown_format_is_refused(tmp_path):
     with pytest.raises(ValueError):
         FileFeed("a", "b", "xml")
+
+
+def test_a_batch_of_broken_json_is_rescued(spark, tmp_path):
+    feed = feed_at(tmp_path, file_format="json")
+    text_drop(feed, "a.json", "not json\n\n[broken\n")
+    stream.update(spark, feed)
+    text_drop(feed, "b.json", '{"id": 1}\n')
+    stream.update(spark, feed)
+    text_drop(feed, "c.json", "broken again\n")
+    rows = stream.update(spark, feed).bronze()
+    assert rows.count() == 4 and rows.filter("id IS NOT NULL").count() == 1
+    assert rows.filter("_rescued_data IS NOT NULL").count() == 3

@@ -138,3 +138,16 @@ def test_an_empty_batch_is_remembered(spark, tmp_path):
     table.upsert(spark.createDataFrame([], SCHEMA), "q", 0, meta={"watermark": 3})
     assert table.applied("q") == 0 and table.read().count() == 0 and table.meta() == {"watermark": 3}
     assert table.changes(None).count() == 0
+
+
+def test_a_dead_attempt_beside_a_live_one_leaves_the_table_readable(spark, tmp_path):
+    rows = make_rows(6)
+    table = table_at(spark, tmp_path / "t")
+    table.upsert(spark.createDataFrame(rows[:50], SCHEMA), "q", 0, "op = 'd'")
+
+    def overtaken():
+        table_at(spark, tmp_path / "t").upsert(spark.createDataFrame(rows[50:], SCHEMA), "q", 1, "op = 'd'")
+
+    with pytest.raises(FileExistsError):
+        table.upsert(spark.createDataFrame(rows[50:60], SCHEMA), "q", 1, "op = 'd'", before_commit=overtaken)
+    assert contents(table_at(spark, tmp_path / "t")) == expected(spark, rows)

@@ -76,7 +76,8 @@ def test_variant_survives_parquet_and_cannot_be_grouped(spark, bronze, tmp_path)
 
 def test_only_whole_texts_count_as_json(spark):
     texts = [
-        *[(body, parsed) for body, _, parsed in TRUTH if body is not None],
+        # A repeated key is valid JSON, though no VARIANT can hold it.
+        *[(body, parsed or body == '{"id":1,"id":2}') for body, _, parsed in TRUTH if body is not None],
         ("42 apples", False), ('{"a":1} x', False), ("[1] [2]", False), ("1,2", False), ("1] [2", False),
         ('{"a":1}{"b":2}', False), (" [1, {}] \n", True), ("-1.5e3", True), ('"a\\"b"', True), ("]", False),
     ]

@@ -35,15 +35,15 @@ def test_pulls_follow_the_watermark_and_soft_deletes(spark, tmp_path):
     spec = TableSpec("Orders", ("OrderID",), "ModifiedDate", delete_when="IsDeleted = 1")
     target = RelationalTarget(spark, str(tmp_path), spec, buckets=2)
     target.run_pull(orders(spark, FIRST), 0)
-    assert target.watermark() == datetime(2024, 1, 3) and state(target) == {1: 10.0, 2: 20.0, 3: 30.0}
+    assert target.watermark()["text"].startswith("2024-01-03") and state(target) == {1: 10.0, 2: 20.0, 3: 30.0}
     target.run_pull(orders(spark, SECOND), 1)
-    assert target.watermark() == datetime(2024, 1, 6) and state(target) == {1: 11.0, 3: 30.0, 4: 40.0}
+    assert target.watermark()["text"].startswith("2024-01-06") and state(target) == {1: 11.0, 3: 30.0, 4: 40.0}
     assert spark.read.parquet(f"{tmp_path}/Orders/staged/run=1").count() == 3
     version = target.table.version()
     target.run_pull(orders(spark, SECOND), 1)
     assert target.table.version() == version
     target.run_pull(orders(spark, SECOND), 2)
-    assert target.watermark() == datetime(2024, 1, 6) and state(target) == {1: 11.0, 3: 30.0, 4: 40.0}
+    assert target.watermark()["text"].startswith("2024-01-06") and state(target) == {1: 11.0, 3: 30.0, 4: 40.0}
 
 
 def test_an_update_that_does_not_move_the_cursor_is_missed_and_audited(spark, tmp_path):
@@ -133,3 +133,44 @@ def test_jdbc_options():
     assert source.reader_options("dbo.Orders") == {"url": "jdbc:x://h/db", "dbtable": "dbo.Orders", "user": "u"}
     split = source.reader_options("t", "id", 1, 100, 8)
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("id", "1", "100", "8")
+
+
+def test_append_only_keeps_equal_and_null_cursors(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 5), (2, 5), (3, 6), (4, None), (4, None)], "id int, c int")
+    for name, keys, cursor in (("a", (), "c"), ("b", (), None), ("c", ("id",), "c")):
+        target = RelationalTarget(spark, str(tmp_path), TableSpec(name, keys, cursor=cursor, scd_type="append"))
+        target.run_pull(rows, 0)
+        target.run_pull(rows, 0)
+        assert target.read().count() == 5
+        target.run_pull(rows.unionAll(spark.createDataFrame([(9, 7)], "id int, c int")), 1)
+        assert target.read().count() == (6 if cursor else 11)
+
+
+def test_watermarks_keep_their_type(spark, tmp_path):
+    kinds = {
+        "date": ("2024-01-01", "2024-01-02"), "decimal(12,4)": ("1.2500", "10.5000"), "timestamp": ("2024-01-01 00:00:00.000001", "2024-03-31 02:30:00"),
+        "timestamp_ntz": ("2024-01-01 00:00:00", "2024-01-02 00:00:00"), "bigint": ("9", "10"), "string": ("a", "b"), "double": ("0.1", "0.30000000000000004"),
+    }
+    for i, (kind, (old, new)) in enumerate(kinds.items()):
+        rows = spark.createDataFrame([(1, old), (2, new)], "id int, c string").withColumn("c", F.col("c").cast(kind))
+        target = RelationalTarget(spark, f"{tmp_path}/{i}", TableSpec("t", ("id",), cursor="c"))
+        target.run_pull(rows.filter("id = 1"), 0)
+        assert target.watermark()["type"] == kind
+        target.run_pull(rows.withColumn("id", F.col("id") + 10), 1)
+        assert sorted(r.id for r in target.read().collect()) == [1, 12]
+    binary = spark.createDataFrame([(1, bytearray(b"\x00\xff")), (2, bytearray(b"\x01\x00"))], "id int, c binary")
+    target = RelationalTarget(spark, f"{tmp_path}/binary", TableSpec("t", ("id",), cursor="c"))
+    target.run_pull(binary.filter("id = 1"), 0)
+    target.run_pull(binary, 1)
+    assert target.read().count() == 2 and target.watermark()["text"] == "0100"
+
+
+def test_a_key_snapshot_deletes_what_is_gone(spark, tmp_path):
+    schema = "id int, c int"
+    target = RelationalTarget(spark, str(tmp_path), TableSpec("t", ("id",), cursor="c"))
+    target.run_pull(spark.createDataFrame([(1, 1), (2, 2), (3, 3), (None, 4)], schema), 0)
+    assert target.left_out(0) == 1
+    target.run_pull(spark.createDataFrame([(1, 1), (4, 9)], schema), 1, key_snapshot=spark.createDataFrame([(1,), (4,)], "id int"))
+    assert sorted(r.id for r in target.read().collect()) == [1, 4]
+    target.run_pull(spark.createDataFrame([(2, 10)], schema), 2)
+    assert sorted(r.id for r in target.read().collect()) == [1, 2, 4]

@@ -130,3 +130,16 @@ def test_counts_start_over_when_their_version_has_expired(spark, tmp_path):
             view.refresh()
     table.expire(keep=1)
     assert {r["day"]: r["record_count"] for r in view.refresh().collect()} == {0: 2, 1: 1}
+
+
+def test_every_batch_is_counted_even_those_a_query_forgets(spark, tmp_path):
+    feed = feed_at(tmp_path)
+    for i in range(7):
+        land(spark, feed, [("/posts", 200, f'[{{"id":{i}}}]', f"r{i}", "2024-03-01 10:00:00")])
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        stream.update(spark, feed, max_files=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    events = read_events(spark, f"{feed.base}/quality_events").filter("`table` = 'bronze_api_responses' AND expectation = 'has_endpoint'")
+    assert events.agg(F.sum("rows")).first()[0] == stream.read_bronze(spark, feed).count() == 7
