@@ -13,7 +13,15 @@ from sluiceway.plans.control import (
     duplicate_endpoints,
     endpoint_parameters,
 )
-from sluiceway.sources.control import control_slice, specs_from_json, specs_from_list, with_control_columns
+from sluiceway.session import scratch_path
+from sluiceway.sources.control import (
+    control_slice,
+    read_control_csv,
+    read_control_table,
+    specs_from_json,
+    specs_from_list,
+    with_control_columns,
+)
 
 # Read by both engines; TEXT and WHOLE stand for their type names. A domain holds the endpoints of
 # twenty customers, so no domain grows with the data.
@@ -75,6 +83,23 @@ def control_specs(spark, sf_dir):
     return compile_specs(control(spark, sf_dir))
 
 
+@query(CONTROL + "SELECT * EXCLUDE (row_no) FROM specs")
+def control_from_csv(spark, sf_dir):
+    """The control table written out as CSV and read back."""
+    path = scratch_path(spark, "control")
+    writer = control(spark, sf_dir).drop("row_no").write.option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return compile_specs(read_control_csv(spark, path)).drop("row_no")
+
+
+@query(CONTROL + "SELECT * EXCLUDE (row_no) FROM specs")
+def control_from_table(spark, sf_dir):
+    """The control table read by its name, its columns in another order."""
+    rows = control(spark, sf_dir)
+    rows.select(*sorted(rows.columns)).createOrReplaceTempView("sluiceway_control")
+    return compile_specs(read_control_table(spark, "sluiceway_control", "row_no")).drop("row_no")
+
+
 @query(
     CONTROL
     + """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,6 +144,21 @@ def clustered_layout(spark, sf_dir):
     return clustered(table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderdate"])
 
 
+@query('SELECT count(*) AS "rows", CAST(0 AS BIGINT) AS overlapping_files FROM orders')
+def clustered_file_ranges(spark, sf_dir):
+    """Files written in that layout whose range reaches into the next file's; a shared edge value does not count."""
+    path = scratch_path(spark, "clustered")
+    clustered(table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderdate"]).write.parquet(path)
+    place = F.struct("o_orderstatus", "o_orderdate")
+    ranges = (
+        spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("low"), F.max(place).alias("high"))
+    )
+    following = F.lead("low").over(Window.orderBy("low", "high"))  # one row per file
+    marked = ranges.withColumn("overlaps", F.coalesce(F.col("high") > following, F.lit(False)))
+    return marked.agg(F.sum("n").alias("rows"), F.count_if("overlaps").alias("overlapping_files"))
+
+
 @query(
     """
 SELECT o_orderkey + 1 AS order_id,

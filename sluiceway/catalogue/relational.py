@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluiceway.catalogue.registry import query, table
@@ -97,6 +97,23 @@ def scd2_history_hot_keys(spark, sf_dir):
     return _history(spark, sf_dir, "o_orderpriority", piece_rows=200)
 
 
+@query(
+    """
+WITH reduced AS (
+  SELECT o_orderpriority AS key, CAST(o_orderdate AS DATE) AS day, max(o_orderkey % 7) AS grade
+  FROM orders GROUP BY ALL)
+SELECT key, grade, day AS valid_from, lead(day) OVER (PARTITION BY key ORDER BY day) AS valid_to FROM reduced
+"""
+)
+def scd2_history_coarse_cursor(spark, sf_dir):
+    """Few keys and a date as sequence: many equal changes at each of its values."""
+    days = _orders(spark, sf_dir).select(
+        F.col("o_orderpriority").alias("key"), F.to_date("o_orderdate").alias("day"), (F.col("o_orderkey") % 7).alias("grade")
+    )
+    top = F.max("grade").over(Window.partitionBy("key", "day"))
+    return history(days.withColumn("grade", top), ["key"], "day", piece_rows=200).drop("day")
+
+
 @query(
     """
 SELECT key, o_orderkey, o_totalprice, o_orderstatus FROM (
@@ -153,8 +170,7 @@ def hard_delete_applied(spark, sf_dir):
     return apply_hard_deletes(_orders(spark, sf_dir), keys, ["o_orderkey"])
 
 
-@query(
-    """
+_FEED = """
 WITH feed AS (
   SELECT c_custkey AS key, c_acctbal AS amount, CAST(NULL AS BIGINT) AS seq, 's' AS op FROM customer
   UNION ALL
@@ -163,14 +179,33 @@ SELECT key, amount, seq, op FROM (
   SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC NULLS LAST) AS rn FROM feed)
 WHERE rn = 1 AND op <> 'd'
 """
-)
-def change_feed_apply(spark, sf_dir):
+
+
+def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshot = table(spark, sf_dir, "customer").selectExpr("c_custkey AS key", "c_acctbal AS amount")
     events = _orders(spark, sf_dir).selectExpr(
         "o_custkey AS key", "o_totalprice AS amount", "o_orderkey AS seq",
         "CASE WHEN o_orderkey % 10 = 0 THEN 'd' ELSE 'u' END AS op",
     )
-    return current_state(change_feed(snapshot, events, "seq"), ["key"], ["seq"], "op = 'd'")
+    return change_feed(snapshot, events, "seq")
+
+
+@query(_FEED)
+def change_feed_apply(spark, sf_dir):
+    return current_state(_feed(spark, sf_dir), ["key"], ["seq"], "op = 'd'")
+
+
+@query(_FEED)
+def change_feed_incremental(spark, sf_dir):
+    """Three triggers over a feed that grows; each applies what lies past the position stored by the one before."""
+    feed = _feed(spark, sf_dir)
+    spec = TableSpec("feed", ("key",), cursor="seq", delete_when="op = 'd'")
+    target = RelationalTarget(spark, scratch_path(spark, "feed"), spec, buckets=8)
+    last = feed.agg(F.max("seq")).first()[0]
+    for trigger in range(3):
+        captured = F.col("seq").isNull() | (F.col("seq") * 3 <= last * (trigger + 1))
+        target.run_pull(feed.filter(captured), trigger)
+    return target.read().select("key", "amount", "seq", "op")
 
 
 @query(

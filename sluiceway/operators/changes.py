@@ -71,11 +71,11 @@ def _count_up_to(cuts: Column, steps: Column, value: Column) -> Column:
     )
 
 
-def _next_in_key(
-    df: DataFrame, keys: Sequence[str], sequence: str, tie: Column, piece_rows: int
-) -> DataFrame:
+def _next_in_key(df: DataFrame, keys: Sequence[str], sequence: str, piece_rows: int) -> DataFrame:
     """Adds ``_next``: the sequence of the following row of the same key, in a struct.
 
+    Each sequence comes once in a key.
+
     A window per key would put a hot key into one task. Therefore about one in ``piece_rows``
     sequences, chosen by the hash of key and sequence, starts a new piece of its key, and the
     window runs inside pieces. What follows the last row of a piece is the start of the next one,
@@ -98,7 +98,7 @@ def _next_in_key(
         .withColumn("_beyond", F.get("_cuts", F.col("_piece")))
         .drop("_cuts", "_steps")
     )
-    following = F.lead(here).over(W.partitionBy(*keys, "_piece").orderBy(here, tie))
+    following = F.lead(here).over(W.partitionBy(*keys, "_piece").orderBy(here))
     start = F.when(F.col("_beyond").isNotNull(), F.struct(F.col("_beyond").alias("v")))
     return pieces.withColumn("_next", F.coalesce(following, start)).drop("_piece", "_beyond")
 
@@ -118,11 +118,14 @@ def history(
     itself. Of several rows with one key and sequence, the greatest hash stays.
     """
     rows = mark_deletes(changes.filter(all_present(keys)), delete_when)
-    tie = row_hash(rows, sorted(rows.columns))
-    chained = _next_in_key(rows, keys, sequence, tie, piece_rows)
-    superseded = F.col("_next").eqNullSafe(F.struct(F.col(sequence).alias("v")))
+    # One row per key and sequence, by an aggregate: a coarse sequence (a date, or NULL) can hold a
+    # large part of a key, and no cut falls inside one value.
+    rest = [c for c in rows.columns if c not in (*keys, sequence)]
+    kept = F.max_by(F.struct(*rest), row_hash(rows, sorted(rows.columns))).alias("_row")
+    rows = rows.groupBy(*keys, sequence).agg(kept).select(*keys, sequence, "_row.*").select(*rows.columns)
+    chained = _next_in_key(rows, keys, sequence, piece_rows)
     return (
-        chained.filter(~superseded & ~F.col(DELETED))
+        chained.filter(~F.col(DELETED))
         .withColumn(valid_from, F.col(sequence))
         .withColumn(valid_to, F.col("_next.v"))
         .drop("_next", DELETED)

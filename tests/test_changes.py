@@ -90,6 +90,21 @@ def test_history_keeps_one_of_equal_sequences(spark):
         assert sorted((r["valid_from"], r["valid_to"]) for r in found) == [(1, 2), (2, None)]
 
 
+def test_history_of_a_coarse_sequence(spark):
+    df = spark.range(2000).select(
+        F.lit("a").alias("key"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("seq"), F.col("id").alias("value")
+    )
+    for piece_rows in (1, 1000):
+        found = history(df, ["key"], "seq", piece_rows=piece_rows).collect()
+        assert sorted(((r["valid_from"], r["valid_to"]) for r in found), key=str) == [(1, 2), (2, None), (None, 1)]
+
+
+def test_a_delete_among_equal_sequences_is_kept_or_not_as_a_whole(spark):
+    df = spark.createDataFrame([("a", 1, 1, "u"), ("a", 2, 2, "u"), ("a", 2, 3, "d")], SCHEMA)
+    found = sorted((r["valid_from"], r["valid_to"]) for r in history(df, ["key"], "seq", "op = 'd'").collect())
+    assert found in ([(1, 2)], [(1, 2), (2, None)])
+
+
 def test_history_takes_any_ordered_sequence(spark):
     df = spark.range(200).select(F.lit("a").alias("key"), F.format_string("%05d", "id").alias("seq"))
     found = history(df, ["key"], "seq", piece_rows=10)
