@@ -10,13 +10,27 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.session import scratch_path
+from sluiceway.session import scratch_path, ship_package
 
 #: A word, as every contract here has it; ``bytes.split()`` cuts UTF-8 text into exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of text in one Arrow batch, so that a Python worker's memory does not follow the length of texts.
+BATCH_BYTES = 8 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the operators expect of a session: the package on the workers, Arrow batches of few bytes.
+
+    A batch size that the user has set is left alone.
+    """
+    ship_package(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -375,7 +375,7 @@ def repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, group_ro
     marks = texts.select("key", F.explode(F.arrays_zip("places", "hashes")).alias("m")).select("key", F.col("m.places").alias("place"), F.col("m.hashes").alias("hash"))
     again = marks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     marks = marks.join(again, "hash").groupBy("key").agg(F.collect_list(F.struct("place", "hash")).alias("marks"))
-    marks = stored(marks.join(texts.select("key", "first"), "key"), "repeats-marks")
+    marks = marks.join(texts.select("key", "first"), "key")
     whole = docs.select("doc_id", "text").withColumn("key", text_key(F.col("text"))).where(F.octet_length("text") >= length)
     candidates = whole.join(marks, "key").where(F.col("doc_id").eqNullSafe(F.col("first"))).select("key", "text", "marks")
     candidates = stored(candidates, "repeats-candidates")
