@@ -14,7 +14,7 @@ from sluiceway.plans import gold
 from sluiceway.plans.tables import clustered
 from sluiceway.session import scratch_path
 from sluiceway.sources.files import conform
-from sluiceway.sources.synthetic import demo_orders
+from sluiceway.sources.synthetic import demo_orders, read_drops, write_one_file
 from sluiceway.streaming import files as stream
 
 AS_OF = "2001-08-01"
@@ -172,6 +172,41 @@ def synthetic_drop(spark, sf_dir):
     return demo_orders(ids, "id", F.col("o_orderdate"))
 
 
+@query("SELECT * FROM orders WHERE o_orderkey % 3 <> 1")
+def drops_by_path(spark, sf_dir):
+    """Two of three drops by their paths; the folder names look like partitions and give no column."""
+    base, orders = scratch_path(spark, "by-path"), table(spark, sf_dir, "orders")
+    for number in range(3):
+        orders.filter(F.col("o_orderkey") % 3 == number).write.parquet(f"{base}/drop={number}")
+    return read_drops(spark, f"{base}/drop=0", f"{base}/drop=2")
+
+
+@query('SELECT count(*) AS "rows" FROM nation WHERE n_regionkey <> 0')
+def one_file_overwrite(spark, sf_dir):
+    """A drop that replaces another one: a row for each file there is, so one row."""
+    path, nation = scratch_path(spark, "one-file"), table(spark, sf_dir, "nation")
+    for drop in (nation, nation.filter("n_regionkey <> 0")):
+        write_one_file(drop, path)
+    return read_drops(spark, path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows")).drop("file")
+
+
+@query("SELECT o_orderkey, 'drop_' || (o_orderkey % 3) AS source_drop, TRUE AS size_and_time_agree FROM orders")
+def files_lineage(spark, sf_dir):
+    """Where each bronze row came from, held against a listing of the dropped files."""
+    base = scratch_path(spark, "lineage")
+    feed = FileFeed(f"{base}/drops", base)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    for number in range(3):
+        orders.filter(F.col("o_orderkey") % 3 == number).write.parquet(f"{feed.source}/drop_{number}")
+    rows = stream.update(spark, feed).bronze()
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(feed.source)
+    listing = listing.select(F.element_at(F.split("path", "/"), -1).alias("name"), "modificationTime", "length")
+    agree = (F.col("length") == F.col("source_file_size")) & (F.col("modificationTime") == F.col("source_file_modified_at"))
+    return rows.withColumn("name", F.element_at(F.split("source_file", "/"), -1)).join(listing, "name").select(
+        "o_orderkey", F.regexp_extract("source_file", "/(drop_[0-9]+)/", 1).alias("source_drop"), agree.alias("size_and_time_agree")
+    )
+
+
 _DRIFTED = """
 SELECT o_orderkey, o_custkey,
   CASE WHEN o_orderkey % 3 < 2 OR o_totalprice = floor(o_totalprice) THEN o_totalprice END AS o_totalprice,

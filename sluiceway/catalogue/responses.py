@@ -21,7 +21,7 @@ from sluiceway.operators.parse import (
 from sluiceway.plans import gold
 from sluiceway.plans.tables import refresh_view
 from sluiceway.session import scratch_path
-from sluiceway.sources.fetch import fetch_responses, land_run, summarize_run
+from sluiceway.sources.fetch import fetch_responses, land_run, refused_runs, summarize_run
 from sluiceway.sources.landing import append_landing, read_landing
 from sluiceway.streaming import responses as stream
 from sluiceway.streaming.count_view import CountView
@@ -353,6 +353,20 @@ def fetch_run_summary(spark, sf_dir):
     return summarize_run(landing(spark, sf_dir))
 
 
+@query(
+    RESPONSES
+    + """
+SELECT 'run-' || (event_id // 2) AS run_id, count(*) AS responses, CAST(0 AS BIGINT) AS success,
+  min(error_message) AS an_error
+FROM responses GROUP BY ALL HAVING count(*) FILTER (WHERE status_code BETWEEN 200 AND 299) = 0
+"""
+)
+def fetch_refused_runs(spark, sf_dir):
+    """Runs of two requests each; those of which none succeeded must not land."""
+    pairs = F.concat(F.lit("run-"), F.floor(F.col("event_id") / 2).cast("string"))
+    return refused_runs(landing(spark, sf_dir).withColumn("run_id", pairs))
+
+
 @query(RESPONSES + "SELECT count(*) AS records FROM responses WHERE run_id = 'run-20240115'")
 def run_verify(spark, sf_dir):
     return landing(spark, sf_dir).filter(F.col("run_id") == "run-20240115").agg(

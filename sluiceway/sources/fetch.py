@@ -204,6 +204,11 @@ def summarize_run(landed: DataFrame) -> DataFrame:
     )
 
 
+def refused_runs(staged: DataFrame) -> DataFrame:
+    """The runs that ``land_run`` does not let land: not one of their requests succeeded."""
+    return summarize_run(staged).filter(F.col("success") == 0)
+
+
 def land_run(responses: DataFrame, run_id: str, staging: str, landing: str) -> dict:
     """Fetch once into staging, check the run there, then append it to the landing table.
 

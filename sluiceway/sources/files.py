@@ -62,14 +62,19 @@ class SchemaRegistry:
         return T.StructType.fromJson(json.loads(self._folder.read(names[-1]))) if names else T.StructType([])
 
     def evolve(self, found: T.StructType) -> T.StructType:
-        known = self.current()
-        names = {f.name.lower() for f in known}
-        new = [T.StructField(f.name, _storable(f.dataType), True) for f in found if f.name.lower() not in names]
-        if not new:
-            return known
-        grown = T.StructType(known.fields + new)
-        self._folder.publish(f"{len(self._folder.names()):010d}.json", grown.json())
-        return grown
+        for attempt in range(10):
+            known = self.current()
+            names = {f.name.lower() for f in known}
+            new = [T.StructField(f.name, _storable(f.dataType), True) for f in found if f.name.lower() not in names]
+            if not new:
+                return known
+            grown = T.StructType(known.fields + new)
+            try:
+                self._folder.publish(f"{len(self._folder.names()):010d}.json", grown.json())
+                return grown
+            except FileExistsError:  # another writer was first: add to what it published
+                if attempt == 9:
+                    raise
 
 
 def _storable(kind: T.DataType) -> T.DataType:

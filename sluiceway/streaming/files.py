@@ -44,15 +44,19 @@ class BatchTable:
         rows.write.mode("overwrite").partitionBy("ingest_date").parquet(target)
 
     def read(self, schema: T.StructType, batch_id: int | None = None) -> DataFrame:
-        """The rows of every finished batch, or of one."""
+        """The rows of every finished batch, or of one.
+
+        One path however many batches there are. Batches come one after another, so that at most the
+        latest one is unfinished.
+        """
         wanted = "*" if batch_id is None else str(batch_id)
-        done = {n.split("/")[0] for n in self._folder.matching(f"batch={wanted}/_SUCCESS")}
-        filled = {n.split("/")[0] for n in self._folder.matching(f"batch={wanted}/ingest_date=*")}
-        paths = [f"{self.path}/{name}" for name in sorted(done & filled)]
-        if not paths:
+        done = [int(n.split("/")[0].partition("=")[2]) for n in self._folder.matching(f"batch={wanted}/_SUCCESS")]
+        path = self.path if batch_id is None else f"{self.path}/batch={batch_id}"
+        if not done:
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
-        return rows.select(*schema.names)
+        numbered = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+        rows = self.spark.read.schema(numbered).option("basePath", self.path).parquet(path)
+        return rows.filter(F.col("batch") <= max(done)).select(*schema.names)
 
 
 class FileTables:

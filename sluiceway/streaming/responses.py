@@ -5,12 +5,13 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from sluiceway.config import DOCUMENT, ResponseFeed
 from sluiceway.operators import quality
 from sluiceway.operators.parse import enrich_responses, explode_records, select_documents
-from sluiceway.sources.landing import LANDING_SCHEMA, stream_landing
+from sluiceway.sources.landing import landing_schema, stream_landing
 from sluiceway.streaming.events import append_events
 from sluiceway.streaming.keyed_table import KeyedTable
 
@@ -30,13 +31,17 @@ def silver_table(spark: SparkSession, feed: ResponseFeed) -> KeyedTable:
 
 
 def read_bronze(spark: SparkSession, feed: ResponseFeed) -> DataFrame:
-    return spark.read.parquet(bronze_path(feed))
+    """All of bronze, with the columns that landing has got since the oldest files were written."""
+    found = spark.read.parquet(bronze_path(feed)).schema
+    names = {f.name.lower() for f in found}
+    added = [f for f in landing_schema(spark, feed.landing) if f.name.lower() not in names]
+    return spark.read.schema(T.StructType(found.fields + added)).parquet(bronze_path(feed))
 
 
 def start_bronze(
     spark: SparkSession,
     feed: ResponseFeed,
-    schema=LANDING_SCHEMA,
+    schema: T.StructType | None = None,
     ingested_at: Column | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
@@ -134,7 +139,7 @@ def start_silver(
 def update(
     spark: SparkSession,
     feed: ResponseFeed,
-    schema=LANDING_SCHEMA,
+    schema: T.StructType | None = None,
     ingested_at: Column | None = None,
     max_files: int | None = None,
 ) -> KeyedTable:

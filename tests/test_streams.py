@@ -143,3 +143,14 @@ def test_every_batch_is_counted_even_those_a_query_forgets(spark, tmp_path):
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     events = read_events(spark, f"{feed.base}/quality_events").filter("`table` = 'bronze_api_responses' AND expectation = 'has_endpoint'")
     assert events.agg(F.sum("rows")).first()[0] == stream.read_bronze(spark, feed).count() == 7
+
+
+def test_a_column_added_at_landing_reaches_bronze(spark, tmp_path):
+    feed = feed_at(tmp_path)
+    land(spark, feed, FIRST)
+    stream.update(spark, feed)
+    rows = spark.read.parquet(feed.landing).limit(1).withColumn("run_id", F.lit("r9")).withColumn("region", F.lit("eu"))
+    append_landing(rows, feed.landing)
+    stream.update(spark, feed)
+    found = {r["run_id"]: r["region"] for r in stream.read_bronze(spark, feed).select("run_id", "region").collect()}
+    assert found == {"r1": None, "r9": "eu"}
