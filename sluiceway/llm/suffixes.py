@@ -69,23 +69,29 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(texts: list[bytes], length: int, gram: int, part: int = PART_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, place, hash) of the leftmost lowest gram of every ``length`` bytes, each once."""
+    """(text, place, hash) of the leftmost lowest gram of every ``length`` bytes, each once.
+
+    About ``part`` bytes are joined at a time, however long a text is, so that a place among them
+    fits into the low bits of a hash.
+    """
+    part = min(part, int(_PLACE) + 2 - length)
     cuts = [(i, at) for i, t in enumerate(texts) for at in range(0, len(t) - length + 1, part)]
-    joined = [texts[i][at : at + part + length - 1] for i, at in cuts]
-    if not joined:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    sizes = np.array([len(j) for j in joined])
-    starts = np.cumsum(sizes) - sizes
-    hashes = window_hashes(np.frombuffer(b"".join(joined), np.uint8), gram)
-    ranked = hashes & ~_PLACE | np.arange(len(hashes), dtype=np.uint64)
-    least = _sliding_least(ranked, length - gram + 1)
-    places = (least[varied(starts, sizes - length + 1)] & _PLACE).astype(np.int64)
-    places = places[np.concatenate([[True], places[1:] != places[:-1]])]
-    which = np.searchsorted(starts, places, "right") - 1
-    text, offset = np.array(cuts, np.int64).reshape(-1, 2).T
-    key = np.unique(text[which] << 40 | places - starts[which] + offset[which], return_index=True)
-    text, place = key[0] >> 40, key[0] & ((1 << 40) - 1)
-    return text, place, hashes[places[key[1]]]
+    views = [memoryview(texts[i])[at : at + part + length - 1] for i, at in cuts]
+    keys, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for a, b in pieces(views, part + length - 1):
+        text, offset = np.array(cuts[a:b], np.int64).T
+        sizes = np.array([len(v) for v in views[a:b]])
+        starts = np.cumsum(sizes) - sizes
+        hashes = window_hashes(np.frombuffer(b"".join(views[a:b]), np.uint8), gram)
+        ranked = hashes & ~_PLACE | np.arange(len(hashes), dtype=np.uint64)
+        least = _sliding_least(ranked, length - gram + 1)
+        places = (least[varied(starts, sizes - length + 1)] & _PLACE).astype(np.int64)
+        places = places[np.concatenate([[True], places[1:] != places[:-1]])]
+        which = np.searchsorted(starts, places, "right") - 1
+        keys.append(text[which] << 40 | places - starts[which] + offset[which])
+        found.append(hashes[places])
+    key, first = np.unique(np.concatenate(keys), return_index=True)
+    return key >> 40, key & ((1 << 40) - 1), np.concatenate(found)[first]
 
 
 class _Tree:

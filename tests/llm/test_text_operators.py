@@ -129,6 +129,17 @@ def test_anchors_do_not_depend_on_parts():
     assert all(np.array_equal(a, b) for a, b in zip(whole, parts))
 
 
+def test_anchors_do_not_depend_on_where_a_long_text_holds_them():
+    text = random.Random(5).randbytes((17 << 20) + 12_345)
+    tail = text[(16 << 20) - 5_000 :]
+    which, place, found = suffixes.anchors([text, tail], 400, 64)
+    inside = (which == 0) & (place >= len(text) - len(tail) + 400)
+    again = (which == 1) & (place >= 400)
+    assert np.count_nonzero(again) > 2_000
+    assert np.array_equal(place[inside] - (len(text) - len(tail)), place[again])
+    assert np.array_equal(found[inside], found[again])
+
+
 def test_targets_share_again_what_exceeds_a_limit():
     due = mixing.targets({"a": 100, "b": 1000, None: 1000, "c": 0})
     assert due["a"] == 300 and due["c"] == 0
