@@ -209,8 +209,10 @@ def _edges(filled: DataFrame, step: int = 256) -> DataFrame:
     """Per pattern the bucket in which its remaining words run out, and the words left for that bucket.
 
     Sums of ever larger ranges of buckets are walked down from the top, so that no pattern's buckets
-    have to stand in one task.
+    have to stand in one task. A pattern with no words left, such as one without any, needs no walk.
     """
+    none_left = filled.where("rest = 0").select("pattern", F.lit(0).cast("bigint").alias("edge"), F.lit(0).cast("bigint").alias("room")).distinct()
+    filled = filled.where("rest > 0")
     levels = []
     level = filled.select("pattern", "buckets", "rest", F.col("bucket").alias("at"), "weight")
     top = filled.agg(F.max("buckets")).first()[0] or 1
@@ -237,7 +239,7 @@ def _edges(filled: DataFrame, step: int = 256) -> DataFrame:
         last = listed.select("pattern", ended.alias("e"))
         # If every bucket fits, the edge lies beyond the last one.
         found = last.select("pattern", F.when(F.col("e.done"), F.col("e.edge")).otherwise(F.col("e.edge") + 1).alias("edge"), F.col("e.room").alias("room"))
-    return found.select("pattern", "edge", "room")
+    return found.select("pattern", "edge", "room").unionAll(none_left)
 
 
 def mix_sources(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **settings) -> DataFrame:

@@ -173,6 +173,15 @@ def test_mix_comes_near_its_targets(spark, bucket_docs):
     assert mixing.mix_sources(docs.limit(0)).count() == 0
 
 
+def test_mix_keeps_sources_without_words_beside_a_large_one(spark):
+    texts = [prose(i, 1 + i % 9) for i in range(600)] + [None, "", " \n"] * 3
+    docs = docs_of(spark, texts).withColumn("source", F.expr("case when doc_id < 600 then 'big' when doc_id % 2 = 0 then 'blank' end"))
+    found = {r.doc_id: r for r in mixing.mix_sources(docs, bucket_docs=1).collect()}
+    assert sorted(found) == list(range(len(texts)))
+    assert all((found[i].size, found[i].source_size, found[i].taken) == (0, 0, 0) for i in range(600, len(texts)))
+    assert sum(r.taken for r in found.values()) > 0
+
+
 def brute_signals(text):
     words, lines = (text or "").split(), (text or "").split("\n")
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
