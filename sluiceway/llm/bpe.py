@@ -211,7 +211,8 @@ class Encoder:
 
     def _learn(self, words: list[str]) -> None:
         """Encode words. A pre-token is a word too, so one memory serves both."""
-        split = {word: self.find(word) for word in words if not word[1:].isalpha()}
+        # Letters with or without a blank before them are one pre-token.
+        split = {word: self.find(word) for word in words if not word.removeprefix(" ").isalpha()}
         single = [word for word in words if word not in split]
         single += self.known.missing(token for tokens in split.values() for token in tokens)
         rank, known, merged, texts = self.vocabulary.rank, self.known.young, [], []

@@ -43,6 +43,18 @@ def test_bpe_equals_the_library(spark):
     assert bpe.digests(docs.limit(0), path, pattern).count() == 0
 
 
+def test_bpe_of_texts_that_begin_with_an_apostrophe():
+    import tiktoken
+
+    path, pattern = queries.vocabulary_file(queries.BYTE_BPE), queries.pre_token_pattern()
+    with open(path, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    texts = ["'Some words", "'Der Rest", "'venir ici", "'s", "(The end", "1st", "\tThe", "Some 'Some", "é", " a", "\u2003The"]
+    found = bpe.Encoder(path, pattern).encode(texts)
+    assert [np.frombuffer(ids, np.int32).tolist() for ids in found] == [library.encode_ordinary(t) for t in texts]
+
+
 def test_rank_queue_finds_the_lowest():
     queue, draw = bpe.RankQueue(50_000), random.Random(3)
     held = {draw.randrange(50_000) for _ in range(500)}
