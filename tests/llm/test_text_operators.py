@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluiceway.llm import language, mixing, quality, simhash, suffixes
+from sluiceway.llm import language, mixing, quality, shingles, simhash, suffixes
 
 ODD = [None, "", " \n\t", "word", "é", "A B", "a b", "x" * 3000, "#%& " * 60]
 
@@ -84,6 +84,47 @@ def test_one_row_of_each_group_stays(spark):
     assert simhash.keep_first(docs.limit(0)).count() == 0
 
 
+def sets_by_brute_force(text):
+    words = [w.lower() for w in text.split()]
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+@pytest.mark.parametrize("block_texts", [2_000, 3])
+def test_documents_of_similar_shingles_leave_one(spark, block_texts):
+    texts, draw = [], random.Random(8)
+    for base in range(30):  # copies with 0 to 9 words changed, on both sides of 0.8
+        words = [w + str(draw.randrange(1000)) for w in prose(base, 200).split()]
+        texts.append(" ".join(words))
+        for changed in range(10):
+            copy = list(words)
+            for at in draw.sample(range(200), changed):
+                copy[at] = f"new{changed}"
+            texts.append(" ".join(copy))
+    sets = [sets_by_brute_force(t) for t in texts]
+    root = list(range(len(texts)))
+    for i, j in ((i, j) for i in range(len(texts)) for j in range(i)):
+        both = len(sets[i] & sets[j])
+        if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+            a, b = root[i], root[j]
+            root = [min(a, b) if r in (a, b) else r for r in root]
+    docs = docs_of(spark, [*texts, None, "", "A b", "a B"])
+    kept = shingles.keep_first(docs, block_texts=block_texts)
+    assert kept.columns == docs.columns
+    assert 30 < len(set(root)) < len(texts)
+    n = len(texts)
+    assert sorted(r.doc_id for r in kept.collect()) == [*sorted(set(root)), n, n + 2]
+    assert shingles.keep_first(docs.limit(0)).count() == 0
+
+
+def test_the_pipeline_drops_near_copies_with_a_few_changed_words(spark):
+    import corpus_pipeline
+
+    words = [f"{w}{i}" for i, w in enumerate(prose(3, 200).split())]
+    changed = [w if i not in (40, 120, 160) else "other" for i, w in enumerate(words)]  # Jaccard 181 / 211
+    docs = docs_of(spark, [" ".join(words), " ".join(changed), prose(4, 200)])
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_each(spark, docs, "").collect()) == [0, 2]
+
+
 def covered(texts, length):
     seen = {}
     for i, t in enumerate(texts):
