@@ -125,6 +125,18 @@ def test_the_pipeline_drops_near_copies_with_a_few_changed_words(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_each(spark, docs, "").collect()) == [0, 2]
 
 
+def test_the_pipeline_cuts_passages_of_51_words(spark):
+    import corpus_pipeline
+
+    own = [prose(20 + i, 60) for i in range(4)]
+    passage = prose(7, 51, "the river runs below a green hill where light falls on old stone".split())
+    assert 200 < len(passage) < 400
+    docs = docs_of(spark, [f"{t[:150]} {passage} {t[150:]}" for t in own] + [prose(30, 80)])
+    for r in corpus_pipeline.cut_repeats(spark, docs, "").collect():
+        assert passage[4:-4] not in r.text
+        assert r.doc_id == 4 or own[r.doc_id][:140] in r.text and own[r.doc_id][-100:] in r.text
+
+
 def covered(texts, length):
     seen = {}
     for i, t in enumerate(texts):
