@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import bpe, language, mixing, quality, repair, simhash, suffixes, urls, vptree, warc
+from sluiceway.llm import bpe, language, mixing, quality, repair, resample, simhash, suffixes, urls, vptree, warc
 from sluiceway.llm.common import table
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -76,6 +76,11 @@ def op10_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_ids(repair.write_ids(table(spark, sf_dir, "documents"), vocabulary_file(WORD_BPE)))
 
 
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 _OP5 = """
 WITH parts AS (
   SELECT page_id,
@@ -113,7 +118,55 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-_ALL = (op1_simhash, op2_language, op3_mixing, op4_quality, op5_urls, op6_suffixes, op7_bpe, op8_warc, op9_vptree, op10_repair)
+_OP12 = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::UBIGINT, range(8)::UBIGINT[]),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS t
+), texts AS (
+  SELECT 'd' AS kind, row_number() OVER () AS row, doc_id, text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark
+), cut AS (
+  SELECT kind, row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts
+), runs AS (
+  SELECT kind, row, unnest(list_concat(w,
+    list_transform(range(greatest(len(w) - 1, 0)), lambda i: w[i + 1] || ' ' || w[i + 2]),
+    list_transform(range(greatest(len(w) - 2, 0)), lambda i: w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]))) AS feature
+  FROM cut
+), counted AS (
+  SELECT kind, row, feature, count(*) AS n FROM runs GROUP BY ALL
+), hexed AS (
+  SELECT feature, hex(encode(feature)) AS h FROM (SELECT DISTINCT feature FROM counted)
+), hashed AS (
+  SELECT feature, xor(list_reduce(list_prepend(4294967295::UBIGINT,
+      list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::UBIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT) % 10000 AS bucket
+  FROM hexed, crc
+), buckets AS (
+  SELECT bucket, coalesce(sum(n) FILTER (kind = 'd'), 0) AS s, coalesce(sum(n) FILTER (kind = 'b'), 0) AS t
+  FROM counted JOIN hashed USING (feature) GROUP BY bucket
+), totals AS (
+  SELECT coalesce(sum(s), 0) AS s_all, coalesce(sum(t), 0) AS t_all FROM buckets
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM buckets, totals
+), weighed AS (
+  SELECT row, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+  FROM counted JOIN hashed USING (feature) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY row
+), scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM cut LEFT JOIN weighed USING (row) WHERE kind = 'd'
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+    5 * count(*) OVER (PARTITION BY n_words >= 20) // 100 AS draws
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= draws THEN place END AS rank FROM ranked
+"""
+
+_ALL = (op1_simhash, op2_language, op3_mixing, op4_quality, op5_urls, op6_suffixes, op7_bpe, op8_warc, op9_vptree, op10_repair, op12_resample)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -121,4 +174,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op5_urls": _OP5.strip(), "op9_vptree": _OP9.strip()}
+    return {"op5_urls": _OP5.strip(), "op9_vptree": _OP9.strip(), "op12_resample": _OP12.strip()}
