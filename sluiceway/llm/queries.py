@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import bpe, language, mixing, quality, repair, resample, simhash, suffixes, urls, vptree, warc
+from sluiceway.llm import bpe, language, lattice, mixing, quality, repair, resample, simhash, suffixes, urls, vptree, warc
 from sluiceway.llm.common import table
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 #: Every fifth document (by checksum of its id) is held out of what the language model learns from.
 FOLDS = 5
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -81,6 +82,13 @@ def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents")
+    model = lattice.learn(docs.where(~held), vocabulary_file(PIECES))
+    return lattice.score(docs, model, held)
+
+
 _OP5 = """
 WITH parts AS (
   SELECT page_id,
@@ -166,7 +174,7 @@ WITH crc AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= draws THEN place END AS rank FROM ranked
 """
 
-_ALL = (op1_simhash, op2_language, op3_mixing, op4_quality, op5_urls, op6_suffixes, op7_bpe, op8_warc, op9_vptree, op10_repair, op12_resample)
+_ALL = (op1_simhash, op2_language, op3_mixing, op4_quality, op5_urls, op6_suffixes, op7_bpe, op8_warc, op9_vptree, op10_repair, op12_resample, op13_lattice)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
