@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import bpe, language, lattice, mixing, quality, repair, resample, simhash, suffixes, urls, vptree, warc
+from sluiceway.llm import bpe, language, lattice, mixing, phrases, quality, repair, resample, simhash, suffixes, urls, vptree, warc
 from sluiceway.llm.common import table
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -77,6 +77,10 @@ def op10_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_ids(repair.write_ids(table(spark, sf_dir, "documents"), vocabulary_file(WORD_BPE)))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
@@ -126,6 +130,39 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+_OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), cut AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), runs AS (
+  SELECT lang, m, unnest(list_transform(range(greatest(len(w) - m + 1, 0)), lambda i: array_to_string(w[i + 1 : i + m], ' '))) AS phrase
+  FROM cut, (SELECT unnest(range(1, 6)) AS m)
+), f AS (
+  SELECT lang, m, phrase, count(*) AS a FROM runs GROUP BY ALL
+), sizes AS (
+  SELECT lang, sum(a)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang
+), often AS (
+  SELECT * FROM f WHERE m >= 2 AND a >= 100
+), cuts AS (
+  SELECT lang, phrase, a, k, string_split(phrase, ' ') AS w, m FROM (SELECT *, unnest(range(1, m)) AS k FROM often)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, l.a AS l, r.a AS r, n,
+    row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a), k) AS place,
+    ((1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM cuts c JOIN sizes USING (lang)
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:c.m], ' ')
+), kept AS (
+  SELECT * FROM scored s WHERE place = 1 AND NOT EXISTS (
+    SELECT 1 FROM often x WHERE x.lang = s.lang AND x.a = s.a AND x.phrase <> s.phrase AND contains(' ' || x.phrase || ' ', ' ' || s.phrase || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""
+
 _OP12 = r"""
 WITH crc AS (
   SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::UBIGINT, range(8)::UBIGINT[]),
@@ -174,7 +211,7 @@ WITH crc AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= draws THEN place END AS rank FROM ranked
 """
 
-_ALL = (op1_simhash, op2_language, op3_mixing, op4_quality, op5_urls, op6_suffixes, op7_bpe, op8_warc, op9_vptree, op10_repair, op12_resample, op13_lattice)
+_ALL = (op1_simhash, op2_language, op3_mixing, op4_quality, op5_urls, op6_suffixes, op7_bpe, op8_warc, op9_vptree, op10_repair, op11_phrases, op12_resample, op13_lattice)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -182,4 +219,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op5_urls": _OP5.strip(), "op9_vptree": _OP9.strip(), "op12_resample": _OP12.strip()}
+    return {"op5_urls": _OP5.strip(), "op9_vptree": _OP9.strip(), "op11_phrases": _OP11.strip(), "op12_resample": _OP12.strip()}
