@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,17 +18,14 @@ DICTIONARY_BYTES = 64 << 10
 MODEL_LIMIT = 64 << 20
 BLOCK_BYTES = 4 << 10
 LEVEL = 3
-#: Texts of up to so many letters are compressed harder, since every byte counts there.
-SHORT_BYTES = 1_000
-SHORT_LEVEL = 19
 #: A prediction is marked as rejected if the second-best language is closer than this share.
 LEAST_MARGIN = 0.01
 UNKNOWN = "und"
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+_NO_LETTERS = regex.compile(r"\P{L}+")
 
 
 def letters(text: str) -> bytes:
-    """The words alone, in lower case: marks, digits and capitals say little about a language."""
+    """The letters alone, in lower case: marks, numbers of any kind and capitals say little about a language."""
     return _NO_LETTERS.sub(" ", text).lower().strip().encode()
 
 
@@ -88,7 +84,7 @@ def predict(docs: DataFrame, model: dict[str, bytes], *, id_column: str = "doc_i
     languages = list(model)
 
     def run(batches: Batches) -> Batches:
-        usual, short = _compressors(model, LEVEL), _compressors(model, SHORT_LEVEL)
+        compressors = _compressors(model, LEVEL)
         for batch in batches:
             found, share = [], []
             for text in raw_bytes(batch.column("text")):
@@ -98,7 +94,6 @@ def predict(docs: DataFrame, model: dict[str, bytes], *, id_column: str = "doc_i
                     share.append(0.0)
                     continue
                 blocks = [text[i : i + BLOCK_BYTES] for i in range(0, len(text), BLOCK_BYTES)]
-                compressors = short if len(text) <= SHORT_BYTES else usual
                 sizes = np.array([sum(len(compress(b)) for b in blocks) for compress in compressors])
                 best = int(sizes.argmin())
                 found.append(languages[best])

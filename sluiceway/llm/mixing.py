@@ -265,16 +265,17 @@ def mix_sources(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
 def mixed_documents(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **settings) -> DataFrame:
     """The documents of the mix, all columns as they were: each row as often as it is used.
 
-    Rows that the mix leaves out go, and so do those without words, which can add nothing.
+    Rows that the mix leaves out go, and so do those without words (null and empty texts), which can
+    add nothing. Repeated rows are used alike, an empty table gives an empty one, and no name of a
+    column of ``docs`` can clash.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     size = word_count(F.col(f"`{text_column}`"))
     key, source = F.col(f"`{id_column}`"), F.col(f"`{source_column}`").cast("string")
     decided, _, _ = mix(docs, key=key, members=F.array(source), size=size, **settings)
+    uses, counted, of, from_, sized = (free_name(docs, f"{n}_of_mix") for n in ("uses", "size", "key", "source", "decided"))
     used = decided.where("taken > 0").select(
-        F.col("key").alias("_k"), F.col("pattern")[0]["s"].alias("_s"), F.col("size").alias("_z"), F.expr("taken div size").cast("int").alias("_n")
+        F.col("key").alias(of), F.col("pattern")[0]["s"].alias(from_), F.col("size").alias(sized), F.expr("taken div size").cast("int").alias(uses)
     )
-    uses, counted = free_name(docs, "uses_of_mix"), free_name(docs, "size_of_mix")
-    joined = docs.withColumn(counted, size).join(used, key.eqNullSafe(F.col("_k")) & source.eqNullSafe(F.col("_s")) & (F.col(counted) == F.col("_z")))
-    repeated = joined.withColumn(uses, F.explode(F.array_repeat(F.lit(0), F.col("_n"))))
-    return repeated.select(*columns)
+    joined = docs.withColumn(counted, size).join(used, key.eqNullSafe(F.col(of)) & source.eqNullSafe(F.col(from_)) & (F.col(counted) == F.col(sized)))
+    return joined.withColumn(uses, F.explode(F.array_repeat(F.lit(0), F.col(uses)))).select(*columns)

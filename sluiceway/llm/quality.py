@@ -132,10 +132,17 @@ def choose(good: np.ndarray, bad: np.ndarray, risk: float, level: float) -> int:
     return place
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, names: dict[str, str], *, stratum: str, id_column: str, risk: float, error: float) -> DataFrame:
+def text_hashes(text: Column) -> tuple[Column, Column]:
+    """Two independent hashes of 64 bits that a text is known by."""
+    return F.xxhash64(text), F.xxhash64(F.lit(2), text)
+
+
+def cutoffs(measured: DataFrame, labels: DataFrame, names: dict[str, str], *, stratum: str, id_column: str, hashes: tuple[str, str], risk: float, error: float) -> DataFrame:
     """One row ``(stratum, cutoffs)`` for each stratum with labels; a rule without cutoff has infinity.
 
     Labelled documents are only counted: per stratum and rule, by the number of cutoffs they exceed.
+    A text counts once in a stratum, however many rows, ids and labels it has, for its copies say
+    nothing new; of several labels the lowest quality counts.
     """
     labels = picked(labels, key="doc_id", quality="quality").where("key is not null and quality in (0, 1)")
     labels = labels.groupBy("key").agg(F.min("quality").alias("quality"))
@@ -148,8 +155,10 @@ def cutoffs(measured: DataFrame, labels: DataFrame, names: dict[str, str], *, st
     ]
     counted = (
         measured.where(~base_failed(names))
-        .select(F.col(f"`{id_column}`").alias("key"), F.col(stratum).alias("stratum"), F.array(*passed).alias("rules"))
+        .select(F.col(f"`{id_column}`").alias("key"), F.col(stratum).alias("stratum"), F.array(*passed).alias("rules"), *[F.col(h).alias(f"h{i}") for i, h in enumerate(hashes)])
         .join(labels, "key")
+        .groupBy("stratum", "h0", "h1")
+        .agg(F.min("quality").alias("quality"), F.first("rules").alias("rules"))
         .select("stratum", "quality", F.explode("rules").alias("r"))
         .groupBy("stratum", "quality", "r.rule", "r.passed")
         .count()
@@ -172,14 +181,14 @@ def cutoffs(measured: DataFrame, labels: DataFrame, names: dict[str, str], *, st
 
 def judged(measured: DataFrame, limits: DataFrame, names: dict[str, str], stratum: str, base: str, kept: str) -> DataFrame:
     """The rows with ``base`` (failed the base rules) and ``kept``. The join is left to Spark's size check."""
-    limit = free_name(measured, "limit_of_rules")
-    limits = limits.select(F.col("stratum").alias("_s_"), F.col("cutoffs").alias(limit))
+    limit, of = free_name(measured, "limit_of_rules"), free_name(measured, "stratum_of_limit")
+    limits = limits.select(F.col("stratum").alias(of), F.col("cutoffs").alias(limit))
     over = [F.coalesce(score > F.col(limit)[i], F.lit(False)) for i, score in enumerate(scores(names).values())]
     rejected = over[0]
     for o in over[1:]:
         rejected = rejected | o
-    joined = measured.join(limits, F.col(stratum).eqNullSafe(F.col("_s_")), "left").withColumn(base, base_failed(names))
-    return joined.withColumn(kept, ~F.col(base) & ~rejected).drop("_s_", limit)
+    joined = measured.join(limits, F.col(stratum).eqNullSafe(F.col(of)), "left").withColumn(base, base_failed(names))
+    return joined.withColumn(kept, ~F.col(base) & ~rejected).drop(of, limit)
 
 
 def quality_rules(
@@ -196,16 +205,19 @@ def quality_rules(
     loses more than ``risk`` of its good documents to the rules. Strata with too few labels get no
     cutoffs and keep everything that passes the base rules; so do those without labels.
 
-    Null and empty texts have zero counts and fail. Repeated rows are judged each for itself and
-    count each as a holdout; of several labels for one id the lowest quality counts, null ids and
+    Null and empty texts have zero counts and fail. Repeated rows are judged each for itself, but equal
+    texts of a stratum are one holdout, as the bound asks for independent ones (near copies are told
+    apart); of several labels for one text the lowest quality counts, null ids and
     other label values count for nothing. Empty tables give an empty result. Other columns are not
     looked at. Only narrow rows are shuffled.
     """
     names = {s: s for s in SIGNALS}
     docs = picked(docs, doc_id=id_column, stratum=stratum_column, text=text_column).withColumn("stratum", F.col("stratum").cast("string"))
+    one, two = text_hashes(F.col("text"))
+    docs = docs.withColumns({"hash": one, "hash_two": two})
     measured = stored(with_signals(docs, "text", names).drop("text"), "quality-signals")
-    limits = cutoffs(measured, labels, names, stratum="stratum", id_column="doc_id", risk=risk, error=error)
-    return judged(measured, limits, names, "stratum", "base_failed", "kept")
+    limits = cutoffs(measured, labels, names, stratum="stratum", id_column="doc_id", hashes=("hash", "hash_two"), risk=risk, error=error)
+    return judged(measured.drop("hash", "hash_two"), limits, names, "stratum", "base_failed", "kept")
 
 
 def keep_good(
@@ -214,13 +226,17 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``docs`` that ``quality_rules`` keeps, all columns as they were.
 
-    Texts are measured twice, once for the counts and once beside the rows, rather than shuffled.
+    Texts are measured twice, once for the counts and once beside the rows, rather than shuffled. Null
+    and empty texts go, repeated rows stay or go together, an empty table gives an empty one, and no
+    name of a column of ``docs`` can clash.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     names = {s: free_name(docs, f"{s}_of_rules") for s in SIGNALS}
     stratum, base, kept = (free_name(docs, n) for n in ("stratum_of_rules", "base_of_rules", "kept_by_rules"))
     docs = docs.withColumn(stratum, F.col(f"`{stratum_column}`").cast("string"))
-    narrow = docs.select(f"`{id_column}`", f"`{stratum}`", f"`{text_column}`")
+    one, two = text_hashes(F.col(f"`{text_column}`"))
+    hashes = free_name(docs, "hash_of_rules"), free_name(docs, "hash_two_of_rules")
+    narrow = docs.select(f"`{id_column}`", f"`{stratum}`", f"`{text_column}`", one.alias(hashes[0]), two.alias(hashes[1]))
     measured = with_signals(narrow, text_column, names).drop(text_column)
-    limits = cutoffs(measured, labels, names, stratum=stratum, id_column=id_column, risk=risk, error=error)
+    limits = cutoffs(measured, labels, names, stratum=stratum, id_column=id_column, hashes=hashes, risk=risk, error=error)
     return judged(with_signals(docs, text_column, names), limits, names, stratum, base, kept).where(F.col(kept)).select(*columns)

@@ -210,14 +210,14 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column:
 def first_rows(docs: DataFrame, group: Callable[[DataFrame], DataFrame], *, id_column: str, text_column: str) -> DataFrame:
     """The first row of each group, all columns as they were. ``group`` adds ``component`` to rows ``(doc_id, h1, h2, text)``."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    one, two = free_name(docs, "row_hash"), free_name(docs, "row_hash_two")
+    one, two, first_one, first_two = (free_name(docs, n) for n in ("row_hash", "row_hash_two", "first_hash", "first_hash_two"))
     key, text = F.col(f"`{id_column}`"), F.col(f"`{text_column}`")
     # A row is known by its id and text: two independent hashes of 64 bits.
     hashed = docs.withColumns({one: F.xxhash64(key, text), two: F.xxhash64(F.lit(2), F.isnull(text), text, key)})
     rows = group(hashed.select(key.alias("doc_id"), F.col(one).alias("h1"), F.col(two).alias("h2"), text.alias("text")))
     first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "h1", "h2")).alias("first")
-    kept = stored(rows.groupBy("component").agg(first).select(F.col("first.h1").alias("k1"), F.col("first.h2").alias("k2")), "simhash-kept")
-    joined = hashed.join(kept, (F.col(one) == F.col("k1")) & (F.col(two) == F.col("k2")))
+    kept = stored(rows.groupBy("component").agg(first).select(F.col("first.h1").alias(first_one), F.col("first.h2").alias(first_two)), "simhash-kept")
+    joined = hashed.join(kept, (F.col(one) == F.col(first_one)) & (F.col(two) == F.col(first_two)))
     whole = F.struct(*columns)
     return joined.groupBy(one, two).agg(F.min_by(whole, F.xxhash64(whole)).alias("row")).select("row.*")
 
