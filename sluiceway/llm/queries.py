@@ -58,7 +58,7 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("kept_text").alias("text"))
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

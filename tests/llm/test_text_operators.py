@@ -149,7 +149,7 @@ def covered(texts, length):
     return marks
 
 
-@pytest.mark.parametrize(("length", "gram", "group_rows"), [(40, 16, 20_000), (40, 16, 3), (30, 25, 20_000)])
+@pytest.mark.parametrize(("length", "gram", "group_rows"), [(40, 16, 20_000), (40, 16, 3), (40, 10, 5), (30, 25, 20_000)])
 def test_repeats(spark, length, gram, group_rows):
     draw = random.Random(4)
     letters = lambda n: "".join(draw.choices("abcdé \n", k=n))
