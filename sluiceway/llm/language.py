@@ -17,7 +17,7 @@ DICTIONARY_BYTES = 64 << 10
 #: Dictionaries of all languages together; more is an error, never a silent cut.
 MODEL_LIMIT = 64 << 20
 BLOCK_BYTES = 4 << 10
-LEVEL = 3
+LEVEL = 9
 #: A prediction is marked as rejected if the second-best language is closer than this share.
 LEAST_MARGIN = 0.01
 UNKNOWN = "und"

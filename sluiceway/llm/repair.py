@@ -26,11 +26,10 @@ GROUP_BYTES = 4 << 20
 MEMO_WORDS = 400_000
 #: Ids per shard: a shard is cut after the document that reaches this.
 SHARD_IDS = 1 << 20
-#: A pair is replaced in a round if the shard holds it this often. Rounds go on until one
-#: shortens the shard by less than 3 %.
-LEAST_COUNT = 24
-ROUNDS = 8
-_SLOTS = 18
+#: A rule is stored as three numbers (its pair and the length of its expansion) and saves one with each
+#: use, so it pays from the fourth on.
+LEAST_COUNT = 4
+_SLOTS = 20
 _VERSION = 1
 
 
@@ -106,61 +105,73 @@ def _tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def compress(ids: np.ndarray, first: int, rounds: int = ROUNDS, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
+def _chosen(place: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Of pairs at ascending places, those to replace: none overlaps another.
+
+    Of two that overlap it is the more frequent one; in a chain of equals, every other one.
+    """
+    beside = place[1:] == place[:-1] + 1
+    new = np.concatenate([[True], ~beside | (weight[1:] != weight[:-1])])
+    start = np.flatnonzero(new)
+    take = (np.arange(len(place)) - np.repeat(start, np.diff(np.append(start, len(place))))) % 2 == 0
+    take[1:] &= ~(beside & (weight[:-1] > weight[1:]))
+    take[:-1] &= ~(beside & (weight[1:] > weight[:-1]))
+    return take
+
+
+def compress(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules): symbols from ``first`` on stand for the pairs in ``rules``.
 
-    Each round counts all adjacent pairs and gives a nonterminal to those found ``least`` times or
-    more. Where two such pairs overlap, the one found more often is replaced (the left one of equals).
+    Each round counts pairs and gives a nonterminal to those that it can replace ``least`` times or
+    more, until there are none. After the first round only pairs that hold a new symbol or were
+    frequent before can be frequent, so only their places are looked at again.
     """
-    symbols, rules = ids.astype(np.uint64), []
-    made = 0
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
-        pairs = symbols[:-1] << np.uint64(32) | symbols[1:]
-        ordered = np.sort(pairs)
-        starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        counts = np.diff(np.append(starts, len(ordered)))
-        often = counts >= least
-        frequent, counts = ordered[starts[often]], counts[often]
-        if not len(frequent):
+    symbols, rules, made = ids.astype(np.int64), [], 0
+    pairs = (symbols[:-1] << 32 | symbols[1:]).view(np.uint64)
+    slot = (pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _SLOTS)).astype(np.int64)
+    place = np.flatnonzero(np.bincount(slot, minlength=1 << _SLOTS)[slot] >= least)  # of others no pair can be frequent
+    while len(place):
+        kinds, which, counts = np.unique(symbols[place] << 32 | symbols[place + 1], return_inverse=True, return_counts=True)
+        often = counts[which] >= least
+        place, which = place[often], which[often]
+        take = _chosen(place, counts[which]) if len(place) else often[:0]
+        times = np.bincount(which[take], minlength=len(kinds))
+        pays = np.flatnonzero(times >= least)
+        if not len(pays):
             break
-        up = np.argsort(counts, kind="stable")  # of pairs that share a slot, the most frequent stays
-        slot = (frequent * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)
-        key, number = np.zeros(1 << _SLOTS, np.uint64), np.zeros(1 << _SLOTS, np.uint64)
-        weight = np.zeros(1 << _SLOTS, np.int32)
-        key[slot[up]], weight[slot[up]] = frequent[up], counts[up]
-        place = (pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)
-        found = np.where(key[place] == pairs, weight[place], 0)
-        take = found > 0
-        take[1:] &= found[1:] > found[:-1]
-        take[:-1] &= found[:-1] >= found[1:]
-        at = np.flatnonzero(take)
-        if not len(at):
-            break
-        used = np.flatnonzero(weight)
-        number[used] = np.arange(first + made, first + made + len(used))
-        symbols[at] = number[place[at]]
-        used = key[used]
+        number = np.zeros(len(kinds), np.int64)
+        number[pays] = np.arange(first + made, first + made + len(pays))
+        take &= number[which] > 0
+        at = place[take]
+        symbols[at] = number[which[take]]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        before, symbols = len(symbols), symbols[keep]
-        rules.append(np.stack([used >> np.uint64(32), used & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        made += len(used)
-        if len(symbols) > 0.97 * before:  # what is left is hardly worth another round
-            break
+        moved = np.cumsum(keep) - 1
+        symbols = symbols[keep]
+        rules.append(np.stack([kinds[pays] >> 32, kinds[pays] & 0xFFFFFFFF], 1).astype(np.uint32))
+        made += len(pays)
+        place = np.unique(np.concatenate([moved[place[keep[place]]], moved[at] - 1]))
+        place = place[(place >= 0) & (place < len(symbols) - 1)]
     return symbols.astype(np.uint32), np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 
 def expansions(rules: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, starts, lengths) of what each symbol stands for, the plain ids first."""
-    parts = [np.array([symbol], np.uint32) for symbol in range(0)]
+    plain = np.arange(first, dtype=np.uint32).tobytes()
+    parts: list[bytes] = []
+    for left, right in rules.tolist():
+        head = parts[left - first] if left >= first else plain[4 * left : 4 * left + 4]
+        parts.append(head + (parts[right - first] if right >= first else plain[4 * right : 4 * right + 4]))
+    lengths = np.concatenate([np.ones(first, np.int64), np.array([len(p) // 4 for p in parts], np.int64)])
+    return np.frombuffer(b"".join([plain, *parts]), np.uint32), np.cumsum(lengths) - lengths, lengths
+
+
+def rule_lengths(rules: np.ndarray, first: int) -> np.ndarray:
+    """How many ids each rule stands for."""
+    found: list[int] = []
     for left, right in rules.tolist():
-        sides = [parts[s - first] if s >= first else np.array([s], np.uint32) for s in (left, right)]
-        parts.append(np.concatenate(sides))
-    lengths = np.concatenate([np.ones(first, np.int64), np.array([len(p) for p in parts], np.int64)])
-    flat = np.concatenate([np.arange(first, dtype=np.uint32), *parts])
-    return flat, np.cumsum(lengths) - lengths, lengths
+        found.append((found[left - first] if left >= first else 1) + (found[right - first] if right >= first else 1))
+    return np.array(found, np.uint32)
 
 
 class Shard:
@@ -194,11 +205,10 @@ class Shard:
 
 def pack(doc_ids: list, lengths: list[int], ids: np.ndarray, first: int) -> bytes:
     symbols, rules = compress(ids, first)
-    _, _, spans = expansions(rules, first)
     head = np.array([len(doc_ids), len(symbols), len(rules), len(ids), first, _VERSION], np.uint32)
     marks = np.array([d is None for d in doc_ids], np.uint8)
     numbers = np.array([0 if d is None else d for d in doc_ids], np.int64)
-    parts = (head, rules, spans[first:].astype(np.uint32), np.array(lengths, np.uint32), numbers, marks, symbols)
+    parts = (head, rules, rule_lengths(rules, first), np.array(lengths, np.uint32), numbers, marks, symbols)
     return b"".join(p.tobytes() for p in parts)
 
 

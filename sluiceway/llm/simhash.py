@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import itertools
 import random
-from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -207,25 +206,22 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def first_rows(docs: DataFrame, group: Callable[[DataFrame], DataFrame], *, id_column: str, text_column: str) -> DataFrame:
-    """The first row of each group, all columns as they were. ``group`` adds ``component`` to rows ``(doc_id, h1, h2, text)``."""
+def keep_first(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates, all columns as they were, whatever their names.
+
+    Of each group the row with the smallest id stays, of several with that id the one of the lowest
+    hash, of rows that agree in both one. Groups in which all ids are null keep one row, too. Null and
+    empty texts and others without words are one group; an empty table stays empty.
+    """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     one, two, first_one, first_two = (free_name(docs, n) for n in ("row_hash", "row_hash_two", "first_hash", "first_hash_two"))
     key, text = F.col(f"`{id_column}`"), F.col(f"`{text_column}`")
     # A row is known by its id and text: two independent hashes of 64 bits.
     hashed = docs.withColumns({one: F.xxhash64(key, text), two: F.xxhash64(F.lit(2), F.isnull(text), text, key)})
-    rows = group(hashed.select(key.alias("doc_id"), F.col(one).alias("h1"), F.col(two).alias("h2"), text.alias("text")))
+    narrow = hashed.select(key.alias("doc_id"), F.col(one).alias("h1"), F.col(two).alias("h2"), text.alias("text"))
+    rows = grouped(narrow, radius=radius, bucket_rows=bucket_rows)
     first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "h1", "h2")).alias("first")
     kept = stored(rows.groupBy("component").agg(first).select(F.col("first.h1").alias(first_one), F.col("first.h2").alias(first_two)), "simhash-kept")
     joined = hashed.join(kept, (F.col(one) == F.col(first_one)) & (F.col(two) == F.col(first_two)))
     whole = F.struct(*columns)
     return joined.groupBy(one, two).agg(F.min_by(whole, F.xxhash64(whole)).alias("row")).select("row.*")
-
-
-def keep_first(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates, all columns as they were.
-
-    Of each group the row with the smallest id stays, of several with that id the one of the lowest
-    hash. Groups in which all ids are null keep one row, too.
-    """
-    return first_rows(docs, lambda narrow: grouped(narrow, radius=radius, bucket_rows=bucket_rows), id_column=id_column, text_column=text_column)
