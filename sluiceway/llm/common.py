@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +89,15 @@ def pieces(texts: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers of 32 bits, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(numbers, np.int32).tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.int32)
+
+
 class Memo:
     """What was worked out before, in two generations of bounded size: the older one is dropped whole."""
 

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import Batches, picked, raw_bytes, stored
+from sluiceway.llm.common import Batches, packed, picked, raw_bytes, stored, unpacked
 
 #: Passes over the training words that fit the pieces' probabilities.
 ROUNDS = 2
@@ -20,7 +20,7 @@ PRIOR = 1_000.0
 #: Probability that a token beyond all counts is the end of a text.
 UNSEEN_END = 1 / 1024
 #: Bytes of words whose lattices are held at once; a longer word is gone through in windows of it.
-WINDOW = 1 << 18
+WINDOW = 1 << 16
 #: Fractions of expected counts are kept to this unit, so that sums do not depend on their order.
 UNIT = 1 << 24
 
@@ -245,7 +245,7 @@ def _blocks(batches: Batches) -> Batches:
         whole = [0, len(batch)]
         lists = [pa.ListArray.from_arrays(whole, batch.column(c)) for c in ("doc_id", "held")]
         sizes = pa.ListArray.from_arrays(whole, pa.array([len(t) for t in cut], pa.int32()))
-        columns = [pa.array([task << 32 | place]), *lists, sizes, pa.array([ids.tobytes()], pa.binary()), pa.array([words], pa.list_(pa.binary()))]
+        columns = [pa.array([task << 32 | place]), *lists, sizes, pa.array([packed(ids)], pa.binary()), pa.array([words], pa.list_(pa.binary()))]
         yield pa.RecordBatch.from_arrays(columns, names=["block", "doc_id", "held", "sizes", "ids", "words"])
 
 
@@ -285,7 +285,7 @@ def _scored(model: Model, batches: Batches) -> Batches:
             place = found.field("place").to_numpy()
             n, spelled = np.zeros(len(place), np.int64), np.zeros(len(place))
             n[place], spelled[place] = found.field("n").to_numpy(), found.field("spelled").to_numpy()
-            ids = np.frombuffer(one.column("ids")[0].as_py(), np.int32)
+            ids = unpacked(one.column("ids")[0].as_py())
             sizes = one.column("sizes").flatten().to_numpy().astype(np.int64)
             some = np.flatnonzero(sizes)
             starts = (np.cumsum(sizes) - sizes)[some]

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import Batches, picked, raw_bytes, stored
+from sluiceway.llm.common import Batches, packed, picked, raw_bytes, stored, unpacked
 
 LEAST = 100
 WORDS = 5
@@ -29,14 +28,6 @@ def tokens(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).replace(_BREAK, b" . ").split()
 
 
-def _packed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values, np.int32).tobytes())
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.int32)
-
-
 class _Texts:
     """Texts of one language as numbers of their distinct words, 0 for a break."""
 
@@ -54,7 +45,7 @@ class _Texts:
         counts = np.bincount(ids, minlength=len(self.number))
         counts[0] = 0
         columns = [
-            pa.array([block]), pa.array([lang]), pa.array([_packed(ids)], pa.binary()),
+            pa.array([block]), pa.array([lang]), pa.array([packed(ids)], pa.binary()),
             pa.array([list(self.number)], pa.list_(pa.binary())), pa.array([counts], pa.list_(pa.int64())),
         ]
         return pa.RecordBatch.from_arrays(columns, names=["block", "lang", "ids", "words", "counts"])
@@ -88,10 +79,10 @@ def _frequent_only(batches: Batches) -> Batches:
             found = row["found"] or []
             places = np.array([f["place"] for f in found], np.int64)
             new[places] = np.arange(1, len(found) + 1)
-            ids = new[_unpacked(row["ids"])]
+            ids = new[unpacked(row["ids"])]
             ids = ids[np.concatenate([[True], (ids[1:] != 0) | (ids[:-1] != 0)])] if len(ids) else ids
             columns = [
-                pa.array([row["block"]]), pa.array([row["lang"]]), pa.array([_packed(ids)], pa.binary()),
+                pa.array([row["block"]]), pa.array([row["lang"]]), pa.array([packed(ids)], pa.binary()),
                 pa.array([[_BREAK, *(words[p] for p in places.tolist())]], pa.list_(pa.binary())),
                 pa.array([[0, *(f["a"] for f in found)]], pa.list_(pa.int64())),
             ]
@@ -110,7 +101,7 @@ def _grow(size: int, batches: Batches) -> Batches:
     """
     for batch in batches:
         for block, lang, ids, words, counts, reach, classes, kept in zip(*(batch.column(c).to_pylist() for c in ("block", "lang", "ids", "words", "counts", "reach", "classes", "kept"))):
-            ids = _unpacked(ids)
+            ids = unpacked(ids)
             total, last = len(ids), size - 1
             rare = np.array(counts) <= reach
             rare[0] = False
@@ -120,7 +111,7 @@ def _grow(size: int, batches: Batches) -> Batches:
                 alive = np.zeros(kept["top"] + 1, np.int32)
                 places = np.array(kept["places"], np.int64)
                 alive[places] = places
-                known = alive[_unpacked(classes)]
+                known = alive[unpacked(classes)]
             n = max(total - last, 0)
             ends = rare[ids]
             fits = ends[:n] | ends[last : last + n]
@@ -148,7 +139,7 @@ def _grow(size: int, batches: Batches) -> Batches:
             names = ["block", "lang", "place", "phrase", "n", "classes"]
             if len(first):
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-            columns = [pa.array([block]), pa.array([lang]), pa.array([len(first)], pa.int32()), pa.array([None], pa.binary()), pa.array([0], pa.int64()), pa.array([_packed(placed)], pa.binary())]
+            columns = [pa.array([block]), pa.array([lang]), pa.array([len(first)], pa.int32()), pa.array([None], pa.binary()), pa.array([0], pa.int64()), pa.array([packed(placed)], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
