@@ -166,7 +166,7 @@ def all_ways(word, scores):
     return math.log(total), used / total
 
 
-@pytest.mark.parametrize("window", [4, 10, 1 << 18])
+@pytest.mark.parametrize("window", [4, 10, 1 << 16])
 def test_lattice_sums_all_segmentations(window):
     scores = np.log(np.random.default_rng(0).dirichlet(np.ones(len(PIECES))))
     trie, words = lattice.Trie(PIECES), [b"abcab", b"a", b"ba", b"cababcabab", b"abab", b"c"]
