@@ -71,7 +71,7 @@ def _count_up_to(cuts: Column, steps: Column, value: Column) -> Column:
     )
 
 
-def _next_in_key(df: DataFrame, keys: Sequence[str], sequence: str, piece_rows: int) -> DataFrame:
+def chained(df: DataFrame, keys: Sequence[str], sequence: str, piece_rows: int) -> DataFrame:
     """Adds ``_next``: the sequence of the following row of the same key, in a struct.
 
     Each sequence comes once in a key.
@@ -103,6 +103,17 @@ def _next_in_key(df: DataFrame, keys: Sequence[str], sequence: str, piece_rows:
     return pieces.withColumn("_next", F.coalesce(following, start)).drop("_piece", "_beyond")
 
 
+def newest_per_sequence(rows: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
+    """One row per key and sequence, that of the greatest hash.
+
+    An aggregate: a coarse sequence (a date, or NULL) can hold a large part of a key, and no cut of
+    ``chained`` falls inside one value.
+    """
+    rest = [c for c in rows.columns if c not in (*keys, sequence)]
+    kept = F.max_by(F.struct(*rest), row_hash(rows, sorted(rows.columns))).alias("_row")
+    return rows.groupBy(*keys, sequence).agg(kept).select(*keys, sequence, "_row.*").select(*rows.columns)
+
+
 def history(
     changes: DataFrame,
     keys: Sequence[str],
@@ -117,15 +128,10 @@ def history(
     The open version has a NULL end. A delete closes the version before it and is no version
     itself. Of several rows with one key and sequence, the greatest hash stays.
     """
-    rows = mark_deletes(changes.filter(all_present(keys)), delete_when)
-    # One row per key and sequence, by an aggregate: a coarse sequence (a date, or NULL) can hold a
-    # large part of a key, and no cut falls inside one value.
-    rest = [c for c in rows.columns if c not in (*keys, sequence)]
-    kept = F.max_by(F.struct(*rest), row_hash(rows, sorted(rows.columns))).alias("_row")
-    rows = rows.groupBy(*keys, sequence).agg(kept).select(*keys, sequence, "_row.*").select(*rows.columns)
-    chained = _next_in_key(rows, keys, sequence, piece_rows)
+    rows = newest_per_sequence(mark_deletes(changes.filter(all_present(keys)), delete_when), keys, sequence)
     return (
-        chained.filter(~F.col(DELETED))
+        chained(rows, keys, sequence, piece_rows)
+        .filter(~F.col(DELETED))
         .withColumn(valid_from, F.col(sequence))
         .withColumn(valid_to, F.col("_next.v"))
         .drop("_next", DELETED)

@@ -98,13 +98,22 @@ def events(counts: dict, table: str, expectations: Sequence[Expectation], batch_
     ]
 
 
+def refuse(df: DataFrame, table: str, expectations: Sequence[Expectation], batch_id: int) -> None:
+    """Raise before anything is written where a ``fail`` condition is violated; one scan of what it needs."""
+    _raise_broken(events(df.agg(*measures(expectations)).first().asDict(), table, expectations, batch_id), table)
+
+
 def check(seen: Observation, table: str, expectations: Sequence[Expectation], batch_id: int) -> list[tuple]:
     """Quality events of a finished write; raises where a ``fail`` condition was violated."""
     found = events(seen.get, table, expectations, batch_id)
+    _raise_broken(found, table)
+    return found
+
+
+def _raise_broken(found: list[tuple], table: str) -> None:
     broken = [name for _, name, action, _, _, violations in found if action == "fail" and violations]
     if broken:
         raise ExpectationFailed(f"{table}: {', '.join(broken)}")
-    return found
 
 
 EVENT_SCHEMA = (

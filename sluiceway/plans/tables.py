@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.functions.rows import row_hash
+from sluiceway.storage import Folder
 
 
 def clustered(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -20,5 +22,31 @@ def clustered(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def refresh_view(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> None:
-    """Recompute a gold table in full."""
-    (clustered(df, cluster_by) if cluster_by else df).write.mode("overwrite").parquet(path)
+    """Recompute a gold table in full; ``read_view`` sees the old rows until all new ones are there.
+
+    Each refresh has a folder of its own, and the note published last names the folder to read. The
+    folder before stays for those who are still reading it, older ones go.
+    """
+    spark = df.sparkSession
+    folder = Folder(spark, path)
+    notes = folder.names("_notes")
+    number = int(notes[-1]) + 1 if notes else 0
+    target = f"rows-{number:010d}-{uuid.uuid4().hex[:8]}"
+    (clustered(df, cluster_by) if cluster_by else df).write.parquet(f"{path}/{target}")
+    folder.publish(f"_notes/{number:010d}", target)
+    kept = {target, *(folder.read(f"_notes/{n}") for n in notes[-1:])}
+    for name in notes[:-1]:
+        folder.remove(f"_notes/{name}")
+    for name in folder.names():
+        # Later refreshes belong to other writers.
+        if name.startswith("rows-") and name[:15] <= target[:15] and name not in kept:
+            folder.remove(name)
+
+
+def read_view(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the latest finished refresh."""
+    folder = Folder(spark, path)
+    notes = folder.names("_notes")
+    if not notes:
+        raise FileNotFoundError(f"{path} was never refreshed")
+    return spark.read.parquet(f"{path}/{folder.read(f'_notes/{notes[-1]}')}")

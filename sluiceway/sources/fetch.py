@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from http.client import HTTPException
 from itertools import islice
 
 import pyarrow as pa
@@ -23,10 +24,16 @@ from sluiceway.sources.landing import LANDING_SCHEMA, append_landing
 Transport = Callable[[str, str, str | None, dict], tuple[int, str]]
 
 
+# This name and the messages built here stand in ``error_message`` of landed rows.
 class TransientHttpError(Exception):
     """The target answered with 5xx."""
 
 
+#: What a request may be sent again for: a 5xx answer, and a connection that failed, broke off or took
+#: too long. A transport can name further exceptions of its library in an attribute ``retryable``.
+RETRYABLE = (TransientHttpError, OSError, HTTPException)
+
+
 class FetchFailed(RuntimeError):
     """No request of the run succeeded, or nothing landed."""
 
@@ -103,8 +110,10 @@ class _Caller:
                 self.sleep(self.policy.wait(attempt - 1))
             try:
                 return (*who, *self.once(request), None, self.now(), attempt)
-            except Exception as raised:  # whatever the transport raises is a failed attempt
+            except (*getattr(self.transport, "retryable", ()), *RETRYABLE) as raised:
                 problem = repr(raised)
+            except Exception as raised:  # a request that cannot work is not sent again, but its row lands
+                return (*who, None, None, repr(raised), self.now(), attempt)
         return (*who, None, None, problem, self.now(), self.policy.attempts)
 
     def answers(self, requests: Iterator[dict]) -> Iterator[tuple]:

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from sluiceway.functions.rows import row_hash
 
 
+#: Fixed value: how long staged changes are kept.
+RETENTION_DAYS = 30
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """How one source table is ingested."""
@@ -20,6 +24,7 @@ class TableSpec:
     cursor: str | None = None
     scd_type: int | str = 1
     delete_when: str | None = None
+    retention_days: int = RETENTION_DAYS
 
     def __post_init__(self):
         if self.scd_type not in (1, 2, "append"):
@@ -114,13 +119,13 @@ def change_feed(
     return initial.unionByName(events, allowMissingColumns=True)
 
 
-def retained(feed: DataFrame, committed_at: str, as_of: Column, days: int = 30) -> DataFrame:
-    """Staged changes young enough to be replayed. Fixed value: thirty days by default."""
+def retained(feed: DataFrame, committed_at: str, as_of: Column, days: int = RETENTION_DAYS) -> DataFrame:
+    """Staged changes young enough to be replayed."""
     return feed.filter(F.col(committed_at) >= as_of - F.make_dt_interval(F.lit(days)))
 
 
 def needs_resnapshot(
-    feed: DataFrame, reprocess_from: Column, committed_at: str, as_of: Column, days: int = 30
+    feed: DataFrame, reprocess_from: Column, committed_at: str, as_of: Column, days: int = RETENTION_DAYS
 ) -> DataFrame:
     """Whether reprocessing from a point would need changes older than what is staged."""
     oldest = as_of - F.make_dt_interval(F.lit(days))

@@ -110,6 +110,10 @@ class FileTables:
         if self.feed.dedup_keys:
             self.keyed().upsert(watched, name, batch_id, before_commit=settle)
         elif not self._passed.finished(batch_id):
+            # Readers see a batch as soon as it is written, so what must not pass is counted before.
+            strict = [rule for rule in rules if rule.action == "fail"]
+            if strict:
+                quality.refuse(rows, name, strict, batch_id)
             self._passed.append(watched, batch_id)
             settle()
 

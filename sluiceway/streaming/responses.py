@@ -16,6 +16,8 @@ from sluiceway.streaming.events import append_events
 from sluiceway.streaming.keyed_table import KeyedTable
 
 SEQUENCE = ["fetched_at"]
+#: How long the counts of a stream that has ended may be under way.
+EVENTS_SECONDS = 600
 
 
 def bronze_path(feed: ResponseFeed) -> str:
@@ -95,9 +97,11 @@ def bronze_quality(query: StreamingQuery) -> dict[int, list[tuple]]:
     query.awaitTermination()
     rules = (*quality.BRONZE_RESPONSES, quality.UNPARSEABLE)
     listener = query.batch_counts
-    if query.lastProgress and query.lastProgress.observedMetrics:
-        listener.ended.wait(60)  # events come in order, the end last
+    observed = query.lastProgress and query.lastProgress.observedMetrics
+    complete = not observed or listener.ended.wait(EVENTS_SECONDS)  # events come in order, the end last
     listener.spark.streams.removeListener(listener)
+    if not complete:
+        raise TimeoutError(f"the counts of run {query.runId} did not come within {EVENTS_SECONDS} seconds")
     found = listener.counts.get(str(query.runId), {})
     return {b: quality.events(c, "bronze_api_responses", rules, b) for b, c in sorted(found.items())}
 

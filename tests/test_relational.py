@@ -38,7 +38,7 @@ def test_pulls_follow_the_watermark_and_soft_deletes(spark, tmp_path):
     assert target.watermark()["text"].startswith("2024-01-03") and state(target) == {1: 10.0, 2: 20.0, 3: 30.0}
     target.run_pull(orders(spark, SECOND), 1)
     assert target.watermark()["text"].startswith("2024-01-06") and state(target) == {1: 11.0, 3: 30.0, 4: 40.0}
-    assert spark.read.parquet(f"{tmp_path}/Orders/staged/run=1").count() == 3
+    assert target.staged(1).count() == 3
     version = target.table.version()
     target.run_pull(orders(spark, SECOND), 1)
     assert target.table.version() == version
