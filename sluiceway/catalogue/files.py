@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +13,7 @@ from sluiceway.config import FileFeed
 from sluiceway.operators import quality
 from sluiceway.operators.changes import current_state
 from sluiceway.plans import gold
-from sluiceway.plans.tables import clustered
+from sluiceway.plans.tables import clustered, space_filled
 from sluiceway.session import scratch_path
 from sluiceway.sources.files import conform
 from sluiceway.sources.synthetic import demo_orders, read_drops, write_one_file
@@ -159,6 +161,49 @@ def clustered_file_ranges(spark, sf_dir):
     return marked.agg(F.sum("n").alias("rows"), F.count_if("overlaps").alias("overlapping_files"))
 
 
+@query(
+    """
+SELECT 'o_custkey' AS by_column, count(*) AS "rows", TRUE AS few_files FROM orders WHERE o_custkey = (SELECT min(o_custkey) FROM orders)
+UNION ALL
+SELECT 'o_orderdate', count(*), TRUE FROM orders WHERE o_orderdate = (SELECT min(o_orderdate) FROM orders)
+"""
+)
+def space_filling_layout(spark, sf_dir):
+    """Of 64 files in that layout, those that a filter on either column has to open: near the square root."""
+    path, files = scratch_path(spark, "curve"), 64
+    orders = table(spark, sf_dir, "orders")
+    space_filled(orders, ["o_custkey", "o_orderdate"], files).write.parquet(path)
+    stored, found = spark.read.parquet(path), None
+    for column in ("o_custkey", "o_orderdate"):
+        per_file = stored.groupBy(F.col("_metadata.file_path")).agg(F.min(column).alias("low"), F.max(column).alias("high"))
+        wanted = orders.select(F.min(column).alias("value"))
+        touched = per_file.join(wanted, F.col("value").between(F.col("low"), F.col("high"))).agg(F.count(F.lit(1)).alias("touched"))
+        rows = stored.join(wanted, F.col(column) == F.col("value")).agg(F.count(F.lit(1)).alias("rows"))
+        part = rows.join(touched).select(F.lit(column).alias("by_column"), "rows", (F.col("touched") <= 3 * math.isqrt(files)).alias("few_files"))
+        found = part if found is None else found.unionAll(part)
+    return found
+
+
+@query(
+    """
+WITH months AS (
+  SELECT date_trunc('month', o_orderdate)::DATE AS month, count(DISTINCT o_custkey) AS customers, count(*) AS "rows"
+  FROM orders GROUP BY ALL)
+SELECT month, customers, "rows", TRUE AS estimate_is_near FROM months
+"""
+)
+def distinct_counts_by_sketch(spark, sf_dir):
+    """Customers by month out of sketches per day, beside the exact number: within 2 %."""
+    orders = table(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
+    path = scratch_path(spark, "sketches")
+    gold.distinct_sketches(orders, ["day"], "o_custkey").write.parquet(path)
+    month = F.trunc("day", "month").alias("month")
+    near = gold.distinct_counts(spark.read.parquet(path).withColumn("month", month), ["month"])
+    exact = orders.groupBy(month).agg(F.countDistinct("o_custkey").alias("customers"))
+    within = F.abs(F.col("distinct_estimate") - F.col("customers")) * 50 <= F.col("customers")
+    return exact.join(near, "month").select("month", "customers", "rows", within.alias("estimate_is_near"))
+
+
 @query(
     """
 SELECT o_orderkey + 1 AS order_id,

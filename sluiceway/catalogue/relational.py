@@ -15,8 +15,10 @@ from sluiceway.operators.changes import (
     open_versions,
     table_changes,
 )
+from sluiceway.operators.reconcile import bitmap_deleted, reconcile
 from sluiceway.plans.relational import RelationalTarget, ingest_tables
 from sluiceway.session import scratch_path
+from sluiceway.sources.cursor_stream import stream_by_cursor
 from sluiceway.sources.relational import (
     TableSpec,
     audit_cursor,
@@ -25,6 +27,7 @@ from sluiceway.sources.relational import (
     pull,
     retained,
 )
+from sluiceway.streaming.history_table import StoredHistory
 from sluiceway.streaming.keyed_table import KeyedTable
 
 NEWEST = ["o_orderdate", "o_orderkey"]
@@ -97,14 +100,15 @@ def scd2_history_hot_keys(spark, sf_dir):
     return _history(spark, sf_dir, "o_orderpriority", piece_rows=200)
 
 
-@query(
-    """
+_DAILY_HISTORY = """
 WITH reduced AS (
   SELECT o_orderpriority AS key, CAST(o_orderdate AS DATE) AS day, max(o_orderkey % 7) AS grade
   FROM orders GROUP BY ALL)
 SELECT key, grade, day AS valid_from, lead(day) OVER (PARTITION BY key ORDER BY day) AS valid_to FROM reduced
 """
-)
+
+
+@query(_DAILY_HISTORY)
 def scd2_history_coarse_cursor(spark, sf_dir):
     """Few keys and a date as sequence: many equal changes at each of its values."""
     days = _orders(spark, sf_dir).select(
@@ -114,6 +118,28 @@ def scd2_history_coarse_cursor(spark, sf_dir):
     return history(days.withColumn("grade", top), ["key"], "day", piece_rows=200).drop("day")
 
 
+@query(_HISTORY.format(key="o_custkey"))
+def scd2_history_spliced(spark, sf_dir):
+    """Five batches in no order, spliced into a stored history."""
+    changes = _orders(spark, sf_dir).select(F.col("o_custkey").alias("key"), "o_orderkey", "o_totalprice", "o_orderstatus")
+    stored = StoredHistory(spark, scratch_path(spark, "history"), ["key"], "o_orderkey", buckets=4, period=20_000)
+    for batch in range(5):
+        part = changes.filter(F.pmod(F.xxhash64("o_orderkey"), F.lit(5)) == batch)
+        stored.splice(part, batch, "o_orderstatus = 'F' AND o_orderkey % 5 = 0")
+    return stored.read()
+
+
+@query(_DAILY_HISTORY)
+def scd2_history_by_day(spark, sf_dir):
+    """Three pulls by a date into a stored history; a pull reads the days from its first change on."""
+    days = _orders(spark, sf_dir).select(F.col("o_orderpriority").alias("key"), F.to_date("o_orderdate").alias("day"), (F.col("o_orderkey") % 7).alias("grade"))
+    top = days.groupBy("key", "day").agg(F.max("grade").alias("grade"))
+    target = RelationalTarget(spark, scratch_path(spark, "pulls"), TableSpec("days", ("key",), cursor="day", scd_type=2), buckets=2)
+    for run, last in enumerate(("1996-01-01", "1999-01-01", "2100-01-01")):
+        target.run_pull(top.filter(F.col("day") < F.lit(last).cast("date")), run)
+    return target.read().select("key", "grade", "valid_from", "valid_to")
+
+
 @query(
     """
 SELECT key, o_orderkey, o_totalprice, o_orderstatus FROM (
@@ -142,6 +168,19 @@ def append_only_ingest(spark, sf_dir):
     return target.read().drop("_pulled_at")
 
 
+@query("SELECT event_id, ts, user_id, value FROM events")
+def cursor_stream(spark, sf_dir):
+    """Three triggers over a table that grows; each goes on at the cursor that Spark's checkpoint holds."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    base = scratch_path(spark, "cursor-stream")
+    for first, last in ((1, 10), (11, 20), (21, 31)):
+        events.filter(F.dayofmonth("ts").between(first, last)).write.mode("append").parquet(f"{base}/source")
+        rows = stream_by_cursor(spark, f"{base}/source", "ts")
+        trigger = rows.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+        trigger.start(f"{base}/appended").awaitTermination()
+    return spark.read.schema(events.schema).parquet(f"{base}/appended")
+
+
 @query("SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber > 1)")
 def hard_delete_after_pull(spark, sf_dir):
     """A cursor pull followed by one with a snapshot of the keys that are left."""
@@ -164,6 +203,13 @@ def hard_delete_detected(spark, sf_dir):
     return hard_deleted(_orders(spark, sf_dir), keys, ["o_orderkey"])
 
 
+@query("SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber > 1)")
+def hard_delete_by_bitmap(spark, sf_dir):
+    """Only keys whose bitmaps differ are joined."""
+    keys = table(spark, sf_dir, "lineitem").filter("l_linenumber > 1").select(F.col("l_orderkey").alias("o_orderkey"))
+    return bitmap_deleted(_orders(spark, sf_dir), keys, ["o_orderkey"])
+
+
 @query("SELECT * FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)")
 def hard_delete_applied(spark, sf_dir):
     keys = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
@@ -245,6 +291,28 @@ def cursor_audit(spark, sf_dir):
     return audit_cursor(before, before.selectExpr(*_MODIFIED), ["o_orderkey"], "o_orderdate")
 
 
+@query(
+    """
+SELECT o_orderkey, 'update' AS change FROM orders WHERE o_orderkey % 50 = 0 AND o_orderkey % 75 <> 0 AND o_orderkey % 90 <> 0
+UNION ALL SELECT o_orderkey, 'delete' FROM orders WHERE o_orderkey % 75 = 0 AND o_orderkey % 90 <> 0
+UNION ALL SELECT o_orderkey, 'insert' FROM orders WHERE o_orderkey % 90 = 0 AND o_orderkey % 75 <> 0
+"""
+)
+def reconciled_by_ranges(spark, sf_dir):
+    """Checksums per range of keys find the rows that were changed, lost or added."""
+    orders = _orders(spark, sf_dir)
+    after = orders.selectExpr(*_MODIFIED).filter("o_orderkey % 75 <> 0")
+    return reconcile(orders.filter("o_orderkey % 90 <> 0"), after, ["o_orderkey"], leaf_rows=8).withColumnRenamed("_change", "change")
+
+
+@query("SELECT o_orderkey, 'delete' AS change FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
+def reconciled_keys(spark, sf_dir):
+    """Keys alone are compared: rows that are gone from the source."""
+    keys = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    found = reconcile(_orders(spark, sf_dir).select("o_orderkey"), keys, ["o_orderkey"])
+    return found.filter("_change = 'delete'").withColumnRenamed("_change", "change")
+
+
 @query(
     """
 WITH before AS (SELECT * FROM orders WHERE o_orderkey % 7 <> 0),

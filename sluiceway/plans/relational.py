@@ -22,6 +22,8 @@ from sluiceway.streaming.keyed_table import KeyedTable
 
 #: The run that brought a row, where that is part of it.
 PULLED = "_pulled_at"
+#: The partitions of staged runs.
+DAY, RUN = "_staged_day", "_staged_run"
 
 
 class ResnapshotNeeded(RuntimeError):
@@ -61,11 +63,11 @@ class RelationalTarget:
 
     def _finished(self) -> dict[int, str]:
         """Staged runs that are whole, with their paths."""
-        found = self._folder.matching("staged/day=*/run=*/_SUCCESS")
+        found = self._folder.matching(f"staged/{DAY}=*/{RUN}=*/_SUCCESS")
         return {int(n.split("/")[-2].partition("=")[2]): f"{self.base}/{n.rpartition('/')[0]}" for n in found}
 
     def _read_staged(self, paths: Sequence[str]) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").option("basePath", f"{self.base}/staged").parquet(*paths)
+        return self.spark.read.option("mergeSchema", "true").option("basePath", f"{self.base}/staged").parquet(*paths).drop(DAY, RUN)
 
     def _appended_runs(self) -> list[int]:
         return sorted(int(n.partition("=")[2]) for n in self._folder.names("appended") if n.startswith(f"{PULLED}="))
@@ -96,8 +98,8 @@ class RelationalTarget:
 
     def _staged_path(self, run: int, day: datetime.date | None = None) -> str:
         """Where a run is staged: where it is already, else below its day."""
-        there = self._folder.matching(f"staged/day=*/run={run}")
-        return f"{self.base}/{there[-1]}" if there else f"{self.base}/staged/day={day or _today()}/run={run}"
+        there = self._folder.matching(f"staged/{DAY}=*/{RUN}={run}")
+        return f"{self.base}/{there[-1]}" if there else f"{self.base}/staged/{DAY}={day or _today()}/{RUN}={run}"
 
     def staged(self, run: int) -> DataFrame:
         return self.spark.read.parquet(self._staged_path(run))
@@ -105,7 +107,7 @@ class RelationalTarget:
     def expire(self, day: datetime.date) -> int:
         """Drop staged runs older than what the spec keeps; returns how many days went."""
         oldest = day - datetime.timedelta(days=self.spec.retention_days)
-        old = [n for n in self._folder.names("staged") if n.startswith("day=") and n[4:] < oldest.isoformat()]
+        old = [n for n in self._folder.names("staged") if n.startswith(f"{DAY}=") and n.partition("=")[2] < oldest.isoformat()]
         for name in old:
             self._folder.remove(f"staged/{name}")
         return len(old)
@@ -115,7 +117,7 @@ class RelationalTarget:
         oldest = (as_of or _today()) - datetime.timedelta(days=self.spec.retention_days)
         if day < oldest:
             raise ResnapshotNeeded(f"{self.spec.name}: changes before {oldest} are no longer staged")
-        return self._read_staged([p for p in self._finished().values() if p.split("/")[-2][4:] >= day.isoformat()])
+        return self._read_staged([p for p in self._finished().values() if p.split("/")[-2].partition("=")[2] >= day.isoformat()])
 
     def left_out(self, run: int) -> int:
         """Rows of a staged run that no state or history can hold, since a key or the order is NULL."""

@@ -28,11 +28,11 @@ class StoredHistory:
 
     def __init__(
         self, spark: SparkSession, path: str, keys: Sequence[str], sequence: str,
-        *, buckets: int = 16, period: int = 1_000_000, piece_rows: int = 1_000_000,
+        *, buckets: int = 16, days: int = 30, period: int = 1_000_000, piece_rows: int = 1_000_000,
     ):
-        """``period`` is the width of a partition for sequences that are numbers; dates and times go by day."""
+        """A partition spans ``days`` of a sequence of dates or times, ``period`` numbers of another one."""
         self.spark, self.path, self.keys, self.sequence = spark, path.rstrip("/"), list(keys), sequence
-        self.buckets, self.period, self.piece_rows = buckets, period, piece_rows
+        self.buckets, self.days, self.period, self.piece_rows = buckets, days, period, piece_rows
         self._folder = Folder(spark, self.path)
 
     def applied(self) -> int:
@@ -48,7 +48,7 @@ class StoredHistory:
 
     def _period(self, value: Column, kind: T.DataType) -> Column:
         if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            return F.to_date(value)
+            return F.floor(F.unix_date(F.to_date(value)) / self.days).cast("bigint")
         if isinstance(kind, T.NumericType):
             return F.floor(value / F.lit(self.period)).cast("bigint")
         return F.lit(None).cast("bigint")  # other kinds have no periods: all versions of a bucket lie together
@@ -68,13 +68,12 @@ class StoredHistory:
         found = self.stored().filter(F.col(BUCKET).isin(said["buckets"]))
         if said["low"] is None:
             return found
-        low = F.lit(said["low"])
-        return found.filter(F.col(ENDED).isNull() | (F.col(ENDED).cast("date" if not isinstance(said["low"], int) else "bigint") >= low))
+        return found.filter(F.col(ENDED).isNull() | (F.col(ENDED) >= F.lit(said["low"])))
 
     def _placed(self, rows: DataFrame) -> DataFrame:
         kind = rows.schema[self.sequence].dataType
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        return rows.withColumns({BUCKET: bucket, ENDED: self._period(F.col(UNTIL), kind).cast("string")})
+        return rows.withColumns({BUCKET: bucket, ENDED: self._period(F.col(UNTIL), kind)})
 
     def splice(self, changes: DataFrame, number: int, delete_when: str | Column | None = None, meta: dict | None = None) -> int:
         """Apply a batch, once; rows with a NULL key or sequence are left out.
@@ -90,7 +89,7 @@ class StoredHistory:
             self._prepare(changes, delete_when).write.mode("overwrite").partitionBy(BUCKET, ENDED).parquet(f"{self.path}/{aside}")
         if self._folder.matching(f"{aside}/{BUCKET}=*"):
             ready = self.spark.read.parquet(f"{self.path}/{aside}")
-            ready = ready.withColumn(ENDED, F.col(ENDED).cast("string"))
+            ready = ready.withColumns({BUCKET: F.col(BUCKET).cast("int"), ENDED: F.col(ENDED).cast("bigint")})
             note["schema"] = ready.schema.jsonValue()
             ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, ENDED).parquet(f"{self.path}/versions")
         self._folder.publish(f"notes/{number:010d}.json", json.dumps(note))
@@ -101,12 +100,13 @@ class StoredHistory:
         """All rows of the partitions that a batch changes, as they will be."""
         here = [*self.keys, self.sequence]
         rows = newest_per_sequence(mark_deletes(changes.filter(all_present(here)), delete_when), self.keys, self.sequence)
+        rows = self._aside(rows, "batch")
         if self._note()["schema"] is None:
             return self._placed(self._chained(rows))
         reach = self.reach(rows)
         mine = reach.join(rows.select(*self.keys).distinct(), self.keys, "left_semi")
         both = mine.drop(UNTIL, BUCKET, ENDED).unionByName(rows, allowMissingColumns=True)
-        new = self._placed(self._chained(newest_per_sequence(both, self.keys, self.sequence)))
+        new = self._aside(self._placed(self._chained(newest_per_sequence(both, self.keys, self.sequence))), "spliced")
         place = [BUCKET, ENDED]
         # A partition changes if a version of the touched keys lies in it before or after, but not alike, or may hold other content.
         marks = [*here, UNTIL, *place]
@@ -120,6 +120,12 @@ class StoredHistory:
         same = (F.col(BUCKET) == F.col("_b")) & F.col(ENDED).eqNullSafe(F.col("_e"))
         return everything.join(touched, same, "left_semi")
 
+    def _aside(self, rows: DataFrame, label: str) -> DataFrame:
+        """What is used several times, written once; the next batch overwrites it."""
+        path = f"{self.path}/work/{label}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def _chained(self, rows: DataFrame) -> DataFrame:
         return chained(rows, self.keys, self.sequence, self.piece_rows).withColumn(UNTIL, F.col("_next.v")).drop("_next")
 

@@ -1,10 +1,13 @@
-from datetime import datetime
+import random
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from sluiceway.operators.changes import current_state, history
-from sluiceway.plans.relational import RelationalTarget, ingest_tables
+from sluiceway.operators.reconcile import bitmap_deleted, differing_rows, reconcile
+from sluiceway.plans.relational import RelationalTarget, ResnapshotNeeded, ingest_tables
+from sluiceway.sources.cursor_stream import CursorReader, decode, encode, stream_by_cursor
 from sluiceway.sources.relational import (
     JdbcSource,
     TableSpec,
@@ -15,6 +18,7 @@ from sluiceway.sources.relational import (
     pull,
     retained,
 )
+from sluiceway.streaming.history_table import StoredHistory
 
 DDL = "OrderID int, Amount double, Status string, IsDeleted int, ModifiedDate timestamp"
 
@@ -174,3 +178,160 @@ def test_a_key_snapshot_deletes_what_is_gone(spark, tmp_path):
     assert sorted(r.id for r in target.read().collect()) == [1, 4]
     target.run_pull(spark.createDataFrame([(2, 10)], schema), 2)
     assert sorted(r.id for r in target.read().collect()) == [1, 2, 4]
+
+
+def test_a_staged_run_that_was_not_appended_is_not_lost(spark, tmp_path):
+    target = RelationalTarget(spark, str(tmp_path), TableSpec("t", (), cursor="day", scd_type="append", delete_when="id % 10 = 9"))
+    rows = spark.range(30).selectExpr("id", "id div 10 AS day")
+    target.run_pull(rows.filter("day = 0"), 0)
+    keep, target._keep = target._keep, lambda run: (_ for _ in ()).throw(RuntimeError("lost"))
+    with pytest.raises(RuntimeError):
+        target.run_pull(rows.filter("day < 2"), 1)
+    target._keep = keep
+    target.run_pull(rows, 2)  # the schedule went on
+    assert sorted(r.id for r in target.read().collect()) == [i for i in range(30) if i % 10 != 9]
+    assert target.watermark()["text"] == "2"
+
+
+def test_staged_runs_expire_in_the_job(spark, tmp_path):
+    target = RelationalTarget(spark, str(tmp_path), TableSpec("t", ("id",), cursor="c", retention_days=30), buckets=2)
+    for run, day in enumerate((date(2024, 1, 1), date(2024, 1, 20), date(2024, 2, 10))):
+        target.run_pull(spark.range(run + 1).selectExpr("id", f"{run} AS c"), run, day=day)
+    assert sorted(target._finished()) == [1, 2]
+    assert target.staged_since(date(2024, 1, 15), date(2024, 2, 10)).count() == 5
+    with pytest.raises(ResnapshotNeeded, match="2024-01-11"):
+        target.staged_since(date(2024, 1, 10), date(2024, 2, 10))
+    assert target.watermark()["text"] == "2" and target.read().count() == 3
+
+
+def versions(df):
+    return sorted(map(tuple, df.select("k", "v", "valid_from", "valid_to").collect()), key=str)
+
+
+@pytest.mark.parametrize("kind", ["int", "date", "string"])
+def test_a_spliced_history_equals_one_in_one_go(spark, tmp_path, kind):
+    draw = random.Random(2)
+    rows = [(draw.randrange(8), draw.randrange(400), draw.randrange(5)) for _ in range(500)] + [(None, 1, 1), (1, None, 1)]
+    at = {"int": "s", "date": "date_add(date'2024-01-01', s)", "string": "lpad(s, 4, '0')"}[kind]
+    changes = spark.createDataFrame(rows, "k int, s int, v int").selectExpr("k", f"{at} AS s", "v")
+    stored = StoredHistory(spark, str(tmp_path / "h"), ["k"], "s", buckets=2, days=50, period=50)
+    parts = changes.withColumn("part", F.pmod(F.xxhash64("k", "s", "v"), F.lit(5)))
+    for number in range(5):
+        for _ in range(2):  # a batch that comes again changes nothing
+            stored.splice(parts.filter(F.col("part") == number).drop("part"), number, "v = 0", {"at": number})
+    whole = history(changes.filter("s IS NOT NULL"), ["k"], "s", "v = 0")
+    assert versions(stored.read()) == versions(whole)
+    assert (stored.applied(), stored.meta()) == (4, {"at": 4})
+    assert not stored._folder.names("pending")
+
+
+def test_a_batch_reads_and_writes_only_what_it_can_touch(spark, tmp_path):
+    path = tmp_path / "h"
+    stored = StoredHistory(spark, str(path), ["k"], "s", buckets=1, period=100)
+    with pytest.raises(ValueError):
+        stored.read()
+    stored.splice(spark.range(1000).selectExpr("id % 5 AS k", "id AS s", "id AS v"), 0)
+    before = {f: f.stat().st_mtime_ns for f in path.glob("versions/*/*/*.parquet")}
+    late = spark.createDataFrame([(2, 750, -1), (2, 1200, -2)], "k bigint, s bigint, v bigint")
+    reach = stored.reach(late)
+    assert {r["_ended"] for r in reach.select("_ended").distinct().collect()} == {7, 8, 9, None}
+    filters = next(line for line in reach._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in line)
+    assert "_ended" in filters.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    stored.splice(late, 1)
+    after = {f: f.stat().st_mtime_ns for f in path.glob("versions/*/*/*.parquet")}
+    changed = {f.parent.name for f in set(before) ^ set(after)}
+    assert changed == {"_ended=7", "_ended=12", "_ended=__HIVE_DEFAULT_PARTITION__"}
+    assert versions(stored.read().filter("k = 2 AND (v < 0 OR s BETWEEN 745 AND 755 OR s > 990)")) == sorted(
+        [(2, 747, 747, 750), (2, -1, 750, 752), (2, 752, 752, 757), (2, 992, 992, 997), (2, 997, 997, 1200), (2, -2, 1200, None)], key=str
+    )
+
+
+def test_a_history_moves_into_place_again_after_a_lost_job(spark, tmp_path):
+    stored = StoredHistory(spark, str(tmp_path / "h"), ["k"], "s", buckets=2)
+    stored.splice(spark.range(20).selectExpr("id % 4 AS k", "id AS s", "id AS v"), 0)
+    publish, stored._folder.publish = stored._folder.publish, lambda *a: (_ for _ in ()).throw(RuntimeError("lost"))
+    more = spark.range(20, 30).selectExpr("id % 4 AS k", "id AS s", "id AS v")
+    with pytest.raises(RuntimeError):
+        stored.splice(more, 1)
+    stored._folder.publish = publish
+    stored.splice(more, 1)
+    assert versions(stored.read()) == versions(history(spark.range(30).selectExpr("id % 4 AS k", "id AS s", "id AS v"), ["k"], "s"))
+
+
+def test_new_columns_and_empty_batches_of_a_history(spark, tmp_path):
+    stored = StoredHistory(spark, str(tmp_path / "h"), ["k"], "s", buckets=2)
+    stored.splice(spark.createDataFrame([(1, 1)], "k int, s int"), 0)
+    stored.splice(spark.createDataFrame([], "k int, s int"), 1)
+    stored.splice(spark.createDataFrame([(1, 2, "x")], "k int, s int, extra string"), 2)
+    found = sorted(map(tuple, stored.read().select("k", "extra", "valid_from", "valid_to").collect()), key=str)
+    assert found == [(1, "x", 2, None), (1, None, 1, 2)]
+
+
+def test_a_stream_by_cursor_keeps_its_place(spark, tmp_path):
+    rows = spark.range(90).selectExpr("id", "IF(id = 5, NULL, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id div 3)) AS at")
+    source, out = str(tmp_path / "source"), str(tmp_path / "out")
+
+    def trigger():
+        stream = stream_by_cursor(spark, source, "at").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "mark"))
+        stream.trigger(availableNow=True).start(out).awaitTermination()
+        return sorted(r.id for r in spark.read.schema("id bigint").parquet(out).collect())
+
+    for last in (30, 60, 90):
+        rows.filter(f"id >= {last - 30} AND id < {last}").coalesce(1).write.mode("append").parquet(source)
+        assert trigger() == list(range(last))
+    assert trigger() == list(range(90))
+    # A row without a cursor, or with one that was passed, comes too late, as with a pull.
+    rows.filter("id IN (3, 5)").coalesce(1).write.mode("append").parquet(source)
+    assert trigger() == list(range(90))
+
+
+def test_only_row_groups_between_two_offsets_are_opened(tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for name, numbers in (("a", [1, 2, None, 4, 5, 6]), ("b", [None, None]), ("_c", [99])):
+        pq.write_table(pa.table({"n": pa.array(numbers, pa.int64())}), tmp_path / f"{name}.parquet", row_group_size=2)
+    reader = CursorReader(str(tmp_path), "n")
+    start, end = reader.initialOffset(), reader.latestOffset()
+    assert end == {"kind": "int", "text": "6"}
+    first = reader.partitions(start, end)
+    assert [p.value[1] for p in first] == [[0, 1, 2], [0]]
+    assert sorted(str(v) for p in first for b in reader.read(p) for v in b.column("n").to_pylist()) == ["1", "2", "4", "5", "6", "None", "None", "None"]
+    part = reader.partitions({"kind": "int", "text": "4"}, end)
+    assert [p.value[1] for p in part] == [[2]]
+    assert [v for b in reader.read(part[0]) for v in b.column("n").to_pylist()] == [5, 6]
+    assert reader.partitions(end, end) == []
+    assert CursorReader(str(tmp_path / "none"), "n").latestOffset()["kind"] == "none"
+    for value in (7, 1.5, "x", b"\x00\xff", date(2024, 1, 2), datetime(2024, 1, 2, 3, 4, 5, 6), None):
+        assert decode(encode(value)) == value
+
+
+@pytest.mark.parametrize("keys", [["id"], ["name"], ["id", "name"]])
+def test_reconciliation_moves_what_differs(spark, keys):
+    left = spark.range(20_000).selectExpr("id * 7 AS id", "concat('n', id) AS name", "id % 13 AS v", "id AS noise")
+    right = left.selectExpr("id", "name", "IF(id % 14000 = 7, v + 1, v) AS v", "noise + 1 AS noise").filter("id % 21000 <> 14").unionAll(
+        spark.createDataFrame([(-5, "new", 1, 1), (10**15, "far", 1, 1)], "id bigint, name string, v bigint, noise bigint")
+    )
+    changes = {(r["id"] if "id" in keys else r["name"]): r["_change"] for r in reconcile(left, right, keys, ["noise"], fanout=16, leaf_rows=16).collect()}
+    want = {}
+    for i in range(20_000):
+        name = i * 7 if "id" in keys else f"n{i}"
+        if i * 7 % 21000 == 14:
+            want[name] = "delete"
+        elif i * 7 % 14000 == 7:
+            want[name] = "update"
+    want |= {-5: "insert", 10**15: "insert"} if "id" in keys else {"new": "insert", "far": "insert"}
+    assert changes == want
+    moved = sum(df.count() for df in differing_rows(left, right, keys, ["v"], fanout=16, leaf_rows=16))
+    assert moved < 3_000
+    assert reconcile(left, left, keys).count() == 0
+    assert reconcile(left.limit(0), left.limit(0), keys).count() == 0
+    assert reconcile(left.limit(0), left, keys).count() == 20_000
+
+
+def test_bitmaps_of_keys(spark):
+    state = spark.createDataFrame([(k,) for k in (-40_000, -1, 0, 1, 32_768, 32_769, 10**12, None)], "k bigint")
+    there = spark.createDataFrame([(k,) for k in (-1, 1, 1, 32_768, 32_769, None)], "k bigint")
+    assert sorted(str(r.k) for r in bitmap_deleted(state, there, ["k"]).collect()) == sorted(map(str, (-40_000, 0, 10**12, None)))
+    text = state.selectExpr("cast(k AS string) AS k")
+    assert bitmap_deleted(text, there.selectExpr("cast(k AS string) AS k"), ["k"]).count() == 4
