@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.session import scratch_path, ship_package
+from sluiceway.storage import Folder
 
 #: A word, as every contract here has it; ``bytes.split()`` cuts UTF-8 text into exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -35,13 +36,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Paths of the tables stored in this process, in order.
+_made: list[str] = []
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read from there: lineage ends, lost executors don't matter."""
+    """The rows written to the shared folder and read from there: lineage ends, lost executors don't matter.
+
+    The table stays until ``forget`` removes it, since results are read lazily.
+    """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    _made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_so_far() -> int:
+    """How many tables were stored: where ``forget`` may begin."""
+    return len(_made)
+
+
+def forget(spark: SparkSession, since: int = 0, but_last: int = 0) -> None:
+    """Remove stored tables from one on, except the latest few. Results that still read them are lost."""
+    for path in _made[since : len(_made) - but_last]:
+        folder, _, name = path.rpartition("/")
+        Folder(spark, folder).remove(name)
+    del _made[since : len(_made) - but_last]
+
+
 def picked(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns under the names used here, so that nothing else can clash."""
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])

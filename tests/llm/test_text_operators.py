@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluiceway.llm import bpe, language, mixing, quality, queries, simhash, suffixes
+from sluiceway.llm import bpe, common, language, mixing, quality, queries, simhash, suffixes
 
 ODD = [None, "", " \n\t", "word", "é", "A B", "a b", "x" * 3000, "#%& " * 60]
 
@@ -344,7 +344,11 @@ def test_pipeline_against_brute_force(spark):
         cut.append((row.doc_id, suffixes.without(text, spans).decode(), row.lang, row.source, None))
     frame = spark.createDataFrame(cut, docs.schema)
     want = bpe.digests(mixing.mixed_documents(frame), queries.vocabulary_file(queries.BYTE_BPE), queries.pre_token_pattern())
+    start = common.stored_so_far()
     assert sorted(map(tuple, corpus_pipeline.run(spark, path).collect())) == sorted(map(tuple, want.collect()))
+    assert common.stored_so_far() == start + 1  # the input of the last stage, which is read lazily
+    common.forget(spark, start)
+    assert common.stored_so_far() == start
 
 
 def test_flow_against_a_search(spark):
