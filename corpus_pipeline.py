@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.llm import bpe, mixing, quality, simhash, suffixes
-from sluiceway.llm.common import prepare, stored, table
+from sluiceway.llm.common import forget, prepare, stored, stored_so_far, table
 from sluiceway.llm.queries import BYTE_BPE, pre_token_pattern, vocabulary_file
 
 #: Bytes from which a repeated passage is cut: 99 % of all runs of 51 words of the test documents have more.
@@ -58,8 +58,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each result written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each result written as Parquet and read again.
+
+    What a stage stored, its input included, goes as soon as its own result is there.
+    """
+    docs, start = table(spark, sf_dir, "documents"), stored_so_far()
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        forget(spark, start, but_last=1)
     return STAGES[-1][1](spark, docs, sf_dir)
