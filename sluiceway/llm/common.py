@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,8 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Paths of the tables stored in this process, in order.
-_made: list[str] = []
+class _Made(threading.local):
+    """Paths of the tables that this thread has stored, in order."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_made = _Made()
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -47,21 +54,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    _made.append(path)
+    _made.paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stored_so_far() -> int:
-    """How many tables were stored: where ``forget`` may begin."""
-    return len(_made)
+    """How many tables this thread has stored: where ``forget`` may begin."""
+    return len(_made.paths)
 
 
 def forget(spark: SparkSession, since: int = 0, but_last: int = 0) -> None:
-    """Remove stored tables from one on, except the latest few. Results that still read them are lost."""
-    for path in _made[since : len(_made) - but_last]:
+    """Remove tables that this thread stored, from one on, except the latest few. Results that still read them are lost."""
+    paths = _made.paths
+    for path in paths[since : len(paths) - but_last]:
         folder, _, name = path.rpartition("/")
         Folder(spark, folder).remove(name)
-    del _made[since : len(_made) - but_last]
+    del paths[since : len(paths) - but_last]
 
 
 def picked(df: DataFrame, **columns: str) -> DataFrame:
