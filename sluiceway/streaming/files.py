@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from sluiceway.config import FileFeed
 from sluiceway.operators import quality
+from sluiceway.sources.discovery import SeenFiles, list_files
 from sluiceway.sources.files import SchemaRegistry, discover, read_files
 from sluiceway.storage import Folder
 from sluiceway.streaming.events import append_events
@@ -130,3 +131,19 @@ def update(spark: SparkSession, feed: FileFeed, ingested_at: Column | None = Non
     )
     query.awaitTermination()
     return tables
+
+
+def update_listed(spark: SparkSession, feed: FileFeed, ingested_at: Column | None = None) -> FileTables:
+    """One run as ``update`` makes it, with the files found by ``SeenFiles`` instead of a file stream.
+
+    For folders with more files than a driver should know: paths stay in tables, and the driver
+    sees those of one batch at a time. A feed uses one of the two ways for good.
+    """
+    tables, seen = FileTables(spark, feed), SeenFiles(spark, f"{feed.base}/seen_files")
+    last = seen.planned()
+    if last >= 0:  # done already, or left behind by a job that ended
+        tables.apply(seen.files(last), last, ingested_at)
+    listing = list_files(spark, feed.source, feed.options.get("pathGlobFilter"))
+    while (number := seen.plan(listing, feed.max_files)) is not None:
+        tables.apply(seen.files(number), number, ingested_at)
+    return tables

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.config import FileFeed
 from sluiceway.plans import gold
+from sluiceway.sources.discovery import SeenFiles, list_files
 from sluiceway.sources.synthetic import seed_demo
 from sluiceway.streaming import files as stream
 from sluiceway.streaming.events import read_events
@@ -186,3 +187,46 @@ def test_a_batch_of_broken_json_is_rescued(spark, tmp_path):
     rows = stream.update(spark, feed).bronze()
     assert rows.count() == 4 and rows.filter("id IS NOT NULL").count() == 1
     assert rows.filter("_rescued_data IS NOT NULL").count() == 3
+
+
+def test_files_are_found_by_digest_once(spark, tmp_path):
+    source = tmp_path / "drops"
+    for number in range(40):
+        folder = source / f"a{number % 3}" / f"b{number % 2}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"f{number} é.json").write_text("{}")
+    (source / "_temporary").mkdir()
+    (source / "_temporary" / "x.json").write_text("{}")
+    (source / ".hidden").write_text("{}")
+    (source / "other.txt").write_text("")
+    listing = list_files(spark, str(source), "*.json")
+    assert listing.count() == 40 and listing.select("path").distinct().count() == 40
+    assert listing.filter("length <> 2 OR modificationTime < current_timestamp() - INTERVAL 1 DAY").count() == 0
+    assert list_files(spark, str(source)).count() == 41 and list_files(spark, str(tmp_path / "none")).count() == 0
+    seen, taken = SeenFiles(spark, str(tmp_path / "seen")), []
+    while (number := seen.plan(list_files(spark, str(source)), 16)) is not None:
+        taken += [r.path for r in seen.files(number).collect()]
+    assert sorted(taken) == sorted(r.path for r in list_files(spark, str(source)).collect()) and seen.planned() == 2
+    late = source / "a1" / "late.json"
+    late.write_text("{}")
+    os.utime(late, (1, 1))  # older than any file there was
+    assert seen.plan(list_files(spark, str(source)), 16) == 3
+    assert [r.path for r in seen.files(3).collect()] == [str(late)]
+
+
+def test_a_planned_batch_is_worked_on_after_a_lost_job(spark, tmp_path):
+    feed = FileFeed(str(tmp_path / "drops"), str(tmp_path / "t"), max_files=2)
+    for number in range(5):
+        spark.range(number, number + 1).coalesce(1).write.mode("append").parquet(feed.source)
+    SeenFiles(spark, f"{feed.base}/seen_files").plan(list_files(spark, feed.source), 2)
+    for _ in range(2):
+        tables = stream.update_listed(spark, feed)
+    assert sorted(r.id for r in tables.bronze().collect()) == list(range(5))
+
+
+def test_many_paths_stay_out_of_the_driver(spark, tmp_path):
+    listing = spark.range(100_000).selectExpr("concat('/drops/', id % 97, '/file-', id) AS path", "timestamp_seconds(id) AS modificationTime", "id AS length")
+    seen = SeenFiles(spark, str(tmp_path / "seen"))
+    assert seen.plan(listing.filter("length % 10 <> 3"), 200_000) == 0
+    assert seen.unseen(listing).count() == 10_000
+    assert seen.plan(listing, 100) == 1 and seen.files(1).agg({"length": "max"}).first()[0] == 993
