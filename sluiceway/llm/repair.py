@@ -300,7 +300,9 @@ def write_ids(
 def read_ids(index: DataFrame) -> DataFrame:
     """One row ``(doc_id, start, n_tokens, ids_crc32)`` per document, read from the files of ``write_ids``.
 
-    The driver sees one row per file, to add up where each begins.
+    The driver sees one row per file, to add up where each begins. Null ids come last and are read back as null,
+    documents without ids have the end id alone, repeated rows come as often as they were written, and
+    without files the result is empty.
     """
     spark, base, rows = index.sparkSession, 0, []
     for row in index.orderBy("part").collect():

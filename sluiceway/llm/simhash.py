@@ -180,7 +180,11 @@ def links(nodes: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS
 
 
 def grouped(docs: DataFrame, *, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Rows with ``doc_id`` and ``text`` to the same with ``fp``, ``component`` and ``component_id`` for the text."""
+    """Rows with ``doc_id`` and ``text`` to the same with ``fp``, ``component`` and ``component_id`` for the text.
+
+    Null and empty texts have fingerprint zero, repeated rows stay, an empty table gives an empty one. Columns
+    beside these two are carried along and must not have the names that are added.
+    """
     found = stored(fingerprints(docs), "simhash-fingerprints")
     nodes = found.groupBy("fp").agg(F.min("doc_id").alias("first"))
     named = components(links(nodes.select("fp"), radius, bucket_rows), "simhash-components")

@@ -218,7 +218,9 @@ def nearest(
 
     Ranks start at 1; equal scores go to the smaller id; a query's own id is no candidate. Vectors
     that are null, zero or hold null or non-finite components, and rows with a null id, take no
-    part. Repeated rows count once. An empty table gives an empty result.
+    part. Repeated rows count once. Several different vectors of one id share its list: the neighbours
+    of each are ranked together, and a row near to more than one of them comes once for each. An empty
+    table gives an empty result; other columns are not looked at.
     """
     rows = picked(vectors, vec_id=id_column, embedding=vector_column).where(usable("embedding") & F.col("vec_id").isNotNull())
     rows = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding", F.size("embedding").alias("width"))

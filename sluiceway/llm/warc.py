@@ -212,7 +212,8 @@ def write_warc(
 def read_warc(bundles: DataFrame) -> DataFrame:
     """``(page_id, payload_bytes, payload_digest, record_type, refers_to)`` per record of the bundles.
 
-    Payloads of responses are checked against their digest; a damaged one is an error.
+    Payloads of responses are checked against their digest; a damaged one is an error. Records without a
+    payload and repeated ones come as they were written; without bundles the result is empty.
     """
     files = max(bundles.count(), 1)
     return bundles.select("path").repartitionByRange(files, "path").mapInArrow(_read, _SUMMARY)
