@@ -22,7 +22,7 @@ from sluiceway.plans import gold
 from sluiceway.plans.tables import read_view, refresh_view
 from sluiceway.session import scratch_path
 from sluiceway.sources.fetch import fetch_responses, land_run, refused_runs, summarize_run
-from sluiceway.sources.landing import append_landing, read_landing
+from sluiceway.sources.landing import LANDING_SCHEMA, append_landing, read_landing
 from sluiceway.streaming import responses as stream
 from sluiceway.streaming.count_view import CountView
 from sluiceway.streaming.keyed_table import KeyedTable
@@ -374,6 +374,22 @@ def run_verify(spark, sf_dir):
     )
 
 
+@query(
+    RESPONSES
+    + """
+SELECT run_id, count(*) AS records, count(*) FILTER (WHERE status_code BETWEEN 200 AND 299) AS success
+FROM responses WHERE run_id IN ('run-20240115', 'run-20240116') GROUP BY run_id
+"""
+)
+def landed_runs(spark, sf_dir):
+    """Two runs land one after the other; each is checked before, and read back and counted after."""
+    base, rows, found = scratch_path(spark, "landed"), landing(spark, sf_dir), []
+    for run_id in ("run-20240115", "run-20240116"):
+        run = rows.filter(F.col("run_id") == run_id).withColumn("attempts", F.lit(1)).select(*LANDING_SCHEMA.names)
+        found.append(land_run(run, run_id, f"{base}/staging/{run_id}", f"{base}/landing"))
+    return spark.createDataFrame(found, "run_id string, records bigint, success bigint")
+
+
 class EventService:
     """An in-memory service whose answer follows from the event in the path."""
 
