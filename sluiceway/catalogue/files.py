@@ -263,9 +263,9 @@ FROM (SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE o_totalprice
 
 @query("SELECT o_orderkey, o_custkey, o_orderkey % 20 AS part FROM orders")
 def files_discovered_by_digest(spark, sf_dir):
-    """Three runs over a folder that grows, three files a batch; what was seen is a table of digests."""
+    """Three runs over a folder that grows, ten files a batch; what was seen is a table of digests."""
     base = scratch_path(spark, "digests")
-    feed = FileFeed(f"{base}/drops", base, max_files=3)
+    feed = FileFeed(f"{base}/drops", base, max_files=10)
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", (F.col("o_orderkey") % 20).alias("part"))
     for first, last in ((0, 4), (5, 5), (6, 19)):
         some = rows.filter(F.col("part").between(first, last)).withColumn("day", F.col("part") % 4)
