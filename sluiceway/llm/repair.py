@@ -105,12 +105,12 @@ def _tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def _chosen(place: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Of pairs at ascending places, those to replace: none overlaps another.
+def _chosen(place: np.ndarray, after: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Of pairs at ascending places, with the place of their right half, those to replace: none overlaps another.
 
     Of two that overlap it is the more frequent one; in a chain of equals, every other one.
     """
-    beside = place[1:] == place[:-1] + 1
+    beside = place[1:] == after[:-1]
     new = np.concatenate([[True], ~beside | (weight[1:] != weight[:-1])])
     start = np.flatnonzero(new)
     take = (np.arange(len(place)) - np.repeat(start, np.diff(np.append(start, len(place))))) % 2 == 0
@@ -119,24 +119,54 @@ def _chosen(place: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return take
 
 
+def _slots(pairs: np.ndarray) -> np.ndarray:
+    return (pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _SLOTS)).astype(np.int64)
+
+
+def _frequent(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kinds, counts, which): the pairs found ``least`` times or more in order, and for each pair its kind or -1.
+
+    Sorting numbers alone is much cheaper than sorting their places, so kinds are looked up by a table of
+    slots, and by search where two share one.
+    """
+    ordered = np.sort(pairs)
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    counts = np.diff(np.append(starts, len(ordered)))
+    kinds, counts = ordered[starts[counts >= least]], counts[counts >= least]
+    if not len(kinds):
+        return kinds, counts, np.full(len(pairs), -1)
+    numbers, table = np.arange(len(kinds), dtype=np.int32), np.zeros(1 << _SLOTS, np.int32)
+    own = _slots(kinds)
+    table[own] = numbers
+    which = table[_slots(pairs)].astype(np.int64)
+    wrong = np.flatnonzero(kinds[which] != pairs)
+    which[wrong] = -1
+    if (table[own] != numbers).any():
+        found = np.minimum(np.searchsorted(kinds, pairs[wrong]), len(kinds) - 1)
+        which[wrong] = np.where(kinds[found] == pairs[wrong], found, -1)
+    return kinds, counts, which
+
+
 def compress(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules): symbols from ``first`` on stand for the pairs in ``rules``.
 
     Each round counts pairs and gives a nonterminal to those that it can replace ``least`` times or
     more, until there are none. After the first round only pairs that hold a new symbol or were
-    frequent before can be frequent, so only their places are looked at again.
+    frequent before can be frequent, so only their places are looked at again. Symbols that went are
+    skipped by links to the next and the previous one.
     """
-    symbols, rules, made = ids.astype(np.int64), [], 0
-    pairs = (symbols[:-1] << 32 | symbols[1:]).view(np.uint64)
-    slot = (pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _SLOTS)).astype(np.int64)
+    symbols, rules, made, n = ids.astype(np.int64), [], 0, len(ids)
+    following, before, alive = np.arange(1, n + 1), np.arange(-1, n - 1), np.ones(n, bool)
+    slot = _slots(symbols[:-1] << 32 | symbols[1:])
     place = np.flatnonzero(np.bincount(slot, minlength=1 << _SLOTS)[slot] >= least)  # of others no pair can be frequent
     while len(place):
-        kinds, which, counts = np.unique(symbols[place] << 32 | symbols[place + 1], return_inverse=True, return_counts=True)
-        often = counts[which] >= least
-        place, which = place[often], which[often]
-        take = _chosen(place, counts[which]) if len(place) else often[:0]
-        times = np.bincount(which[take], minlength=len(kinds))
-        pays = np.flatnonzero(times >= least)
+        pairs = symbols[place] << 32 | symbols[following[place]]
+        kinds, counts, which = _frequent(pairs, least)
+        place, which = place[which >= 0], which[which >= 0]
+        if not len(place):
+            break
+        take = _chosen(place, following[place], counts[which])
+        pays = np.flatnonzero(np.bincount(which[take], minlength=len(kinds)) >= least)
         if not len(pays):
             break
         number = np.zeros(len(kinds), np.int64)
@@ -144,15 +174,20 @@ def compress(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.
         take &= number[which] > 0
         at = place[take]
         symbols[at] = number[which[take]]
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        moved = np.cumsum(keep) - 1
-        symbols = symbols[keep]
+        gone = following[at]
+        alive[gone] = False
+        following[at] = following[gone]
+        linked = at[following[at] < n]
+        before[following[linked]] = linked
         rules.append(np.stack([kinds[pays] >> 32, kinds[pays] & 0xFFFFFFFF], 1).astype(np.uint32))
         made += len(pays)
-        place = np.unique(np.concatenate([moved[place[keep[place]]], moved[at] - 1]))
-        place = place[(place >= 0) & (place < len(symbols) - 1)]
-    return symbols.astype(np.uint32), np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
+        again = np.zeros(n + 1, bool)  # one more, for what would come before the first
+        again[place] = True
+        again[before[at]] = True
+        again[gone] = again[n] = False
+        place = np.flatnonzero(again)
+        place = place[following[place] < n]
+    return symbols[alive].astype(np.uint32), np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 
 def expansions(rules: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
