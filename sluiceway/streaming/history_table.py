@@ -79,19 +79,22 @@ class StoredHistory:
         """Apply a batch, once; rows with a NULL key or sequence are left out.
 
         The versions of its keys within reach are chained anew with the rows of the batch, and only
-        partitions in which a version came or went are written. They are written aside first: if the
-        job ends while they are moved into place, the next attempt moves them again.
+        partitions in which a version came or went are written. Their rows are written aside first: if
+        the job ends while they are laid out in place, the next attempt lays them out again.
         """
         if self.applied() >= number:
             return number
         aside, note = f"pending/batch={number}", self._note() | {"meta": meta}
         if not self._folder.exists(f"{aside}/_SUCCESS"):
-            self._prepare(changes, delete_when).write.mode("overwrite").partitionBy(BUCKET, ENDED).parquet(f"{self.path}/{aside}")
-        if self._folder.matching(f"{aside}/{BUCKET}=*"):
-            ready = self.spark.read.parquet(f"{self.path}/{aside}")
-            ready = ready.withColumns({BUCKET: F.col(BUCKET).cast("int"), ENDED: F.col(ENDED).cast("bigint")})
+            self._prepare(changes, delete_when).write.mode("overwrite").parquet(f"{self.path}/{aside}")
+        ready = self.spark.read.parquet(f"{self.path}/{aside}")
+        if not ready.isEmpty():
+            place = [BUCKET, ENDED]
+            ready = ready.select(*[c for c in ready.columns if c not in place], *place)
             note["schema"] = ready.schema.jsonValue()
-            ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, ENDED).parquet(f"{self.path}/versions")
+            # A partition comes from as few tasks as its size allows: files follow the partitions, not partitions times tasks.
+            laid = ready.hint("rebalance", *map(F.col, place))
+            laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*place).parquet(f"{self.path}/versions")
         self._folder.publish(f"notes/{number:010d}.json", json.dumps(note))
         self._folder.remove(aside)
         return number
@@ -112,8 +115,8 @@ class StoredHistory:
         marks = [*here, UNTIL, *place]
         before, after = mine.select(*marks), new.select(*marks)
         replaced = rows.select(*here).join(mine.select(*here, *place), here).select(BUCKET, ENDED)
-        gone, came = before.exceptAll(after), after.exceptAll(before)
-        touched = gone.select(BUCKET, ENDED).unionByName(came.select(BUCKET, ENDED)).unionByName(replaced).distinct()
+        balance = before.withColumn("_side", F.lit(1)).unionByName(after.withColumn("_side", F.lit(-1))).groupBy(*marks).agg(F.sum("_side").alias("_side"))
+        touched = balance.filter("_side <> 0").select(BUCKET, ENDED).unionByName(replaced).distinct()
         others = reach.join(rows.select(*self.keys).distinct(), self.keys, "left_anti")
         everything = others.unionByName(new, allowMissingColumns=True)
         touched = touched.select(F.col(BUCKET).alias("_b"), F.col(ENDED).alias("_e"))

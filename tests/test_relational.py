@@ -246,6 +246,22 @@ def test_a_batch_reads_and_writes_only_what_it_can_touch(spark, tmp_path):
     )
 
 
+def test_files_of_a_history_follow_its_partitions_and_not_the_tasks(spark, tmp_path):
+    path, merge = tmp_path / "h", "spark.sql.adaptive.coalescePartitions.enabled"
+    stored = StoredHistory(spark, str(path), ["k"], "s", buckets=2, period=50)
+    before = spark.conf.get(merge)
+    spark.conf.set(merge, "false")
+    try:
+        for number in range(2):
+            changes = spark.range(number, 1000, 2).selectExpr("id % 20 AS k", "id AS s", "id AS v")
+            stored.splice(changes, number)
+            assert all(len(list(place.glob("*.parquet"))) == 1 for place in path.glob("versions/*/*"))
+    finally:
+        spark.conf.set(merge, before)
+    whole = history(spark.range(1000).selectExpr("id % 20 AS k", "id AS s", "id AS v"), ["k"], "s")
+    assert versions(stored.read()) == versions(whole)
+
+
 def test_a_history_moves_into_place_again_after_a_lost_job(spark, tmp_path):
     stored = StoredHistory(spark, str(tmp_path / "h"), ["k"], "s", buckets=2)
     stored.splice(spark.range(20).selectExpr("id % 4 AS k", "id AS s", "id AS v"), 0)
