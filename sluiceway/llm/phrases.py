@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ TOP = 2_000
 FIRST_SHARE = 0.125
 #: Bytes of text whose phrases a task counts at once (one text may have more).
 BLOCK_BYTES = 16 << 20
+#: Phrases that leave a task in one batch.
+BATCH_ROWS = 1 << 15
 UNKNOWN = "und"
 _BREAK = b"."
 #: Lower case for A-Z; every character that ends a piece becomes the same one.
@@ -74,17 +77,19 @@ _BASE = "block bigint, lang string, ids binary, words array<binary>, counts arra
 def _frequent_only(batches: Batches) -> Batches:
     """Blocks whose rare words have become breaks; ``counts`` are now those of the whole language."""
     for batch in batches:
-        for row in batch.to_pylist():
-            words, new = row["words"], np.zeros(len(row["words"]), np.int32)
-            found = row["found"] or []
-            places = np.array([f["place"] for f in found], np.int64)
+        for at in range(len(batch)):
+            row = batch.slice(at, 1)
+            words, found = row.column("words").flatten(), row.column("found").flatten()
+            new, places = np.zeros(len(words), np.int32), found.field("place").to_numpy()
             new[places] = np.arange(1, len(found) + 1)
-            ids = new[unpacked(row["ids"])]
+            ids = new[unpacked(row.column("ids")[0].as_py())]
             ids = ids[np.concatenate([[True], (ids[1:] != 0) | (ids[:-1] != 0)])] if len(ids) else ids
+            kept = pa.concat_arrays([pa.array([_BREAK], words.type), words.take(pa.array(places))])
+            counts = np.concatenate([[0], found.field("a").to_numpy()])
+            ends = pa.array([0, len(kept)], pa.int32())
             columns = [
-                pa.array([row["block"]]), pa.array([row["lang"]]), pa.array([packed(ids)], pa.binary()),
-                pa.array([[_BREAK, *(words[p] for p in places.tolist())]], pa.list_(pa.binary())),
-                pa.array([[0, *(f["a"] for f in found)]], pa.list_(pa.int64())),
+                row.column("block"), row.column("lang"), pa.array([packed(ids)], pa.binary()),
+                pa.ListArray.from_arrays(ends, kept), pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["block", "lang", "ids", "words", "counts"])
 
@@ -100,47 +105,61 @@ def _grow(size: int, batches: Batches) -> Batches:
     has a class above 0.
     """
     for batch in batches:
-        for block, lang, ids, words, counts, reach, classes, kept in zip(*(batch.column(c).to_pylist() for c in ("block", "lang", "ids", "words", "counts", "reach", "classes", "kept"))):
-            ids = unpacked(ids)
-            total, last = len(ids), size - 1
-            rare = np.array(counts) <= reach
-            rare[0] = False
-            if size == 2:
-                known = ids
-            else:
-                alive = np.zeros(kept["top"] + 1, np.int32)
-                places = np.array(kept["places"], np.int64)
-                alive[places] = places
-                known = alive[unpacked(classes)]
-            n = max(total - last, 0)
-            ends = rare[ids]
-            fits = ends[:n] | ends[last : last + n]
-            for step in range(size):
-                fits &= ids[step : step + n] > 0
-            if size > 2:
-                head = ends[:n] | ends[last - 1 : last - 1 + n]
-                tail = ends[1 : 1 + n] | ends[last : last + n]
-                fits &= (~head | (known[:n] > 0)) & (~tail | (known[1 : 1 + n] > 0))
-            at = np.flatnonzero(fits)
-            # A phrase is named by its expanded part of one word less and the word that is left.
-            front = ends[at]
-            part = np.where(front, known[at], known[at + 1]).astype(np.int64)
-            word = np.where(front, ids[at + last], ids[at])
-            code = (part * len(words) + word) * 2 + front
-            _, first, which, n_times = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-            placed = np.zeros(total, np.int32)
-            placed[at] = which + 1
-            spelled = [b" ".join([words[i] for i in ids[a : a + size].tolist()]) for a in at[first].tolist()]
-            none = pa.nulls(len(first), pa.binary())
-            columns = [
-                pa.array(np.full(len(first), block, np.int64)), pa.array([lang] * len(first), pa.string()),
-                pa.array(np.arange(1, len(first) + 1, dtype=np.int32)), pa.array(spelled, pa.binary()), pa.array(n_times.astype(np.int64)), none,
-            ]
-            names = ["block", "lang", "place", "phrase", "n", "classes"]
-            if len(first):
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-            columns = [pa.array([block]), pa.array([lang]), pa.array([len(first)], pa.int32()), pa.array([None], pa.binary()), pa.array([0], pa.int64()), pa.array([packed(placed)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        for row in range(len(batch)):
+            yield from _grown(size, batch.slice(row, 1))
+
+
+def _grown(size: int, row: pa.RecordBatch) -> Batches:
+    """The same for one block; phrases leave in batches of ``BATCH_ROWS``, spelled one batch at a time."""
+    block, lang, reach, kept = (row.column(c)[0].as_py() for c in ("block", "lang", "reach", "kept"))
+    words, ids = row.column("words").flatten(), unpacked(row.column("ids")[0].as_py())
+    total, last = len(ids), size - 1
+    rare = row.column("counts").flatten().to_numpy() <= reach
+    rare[0] = False
+    if size == 2:
+        known = ids
+    else:
+        alive = np.zeros(kept["top"] + 1, np.int32)
+        places = np.array(kept["places"], np.int64)
+        alive[places] = places
+        known = alive[unpacked(row.column("classes")[0].as_py())]
+    n = max(total - last, 0)
+    ends = rare[ids]
+    fits = ends[:n] | ends[last : last + n]
+    for step in range(size):
+        fits &= ids[step : step + n] > 0
+    if size > 2:
+        head = ends[:n] | ends[last - 1 : last - 1 + n]
+        tail = ends[1 : 1 + n] | ends[last : last + n]
+        fits &= (~head | (known[:n] > 0)) & (~tail | (known[1 : 1 + n] > 0))
+    at = np.flatnonzero(fits)
+    # A phrase is named by its expanded part of one word less and the word that is left.
+    front = ends[at]
+    part = np.where(front, known[at], known[at + 1]).astype(np.int64)
+    word = np.where(front, ids[at + last], ids[at])
+    code = (part * len(words) + word) * 2 + front
+    del part, word, front
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    new = np.concatenate([[True], code[1:] != code[:-1]]) if len(code) else np.zeros(0, bool)
+    del code
+    placed = np.zeros(total, np.int32)
+    placed[at[order]] = np.cumsum(new, dtype=np.int32)
+    first = np.flatnonzero(new)
+    n_times, begins = np.diff(np.append(first, len(at))), at[order[first]]
+    del order, new, at
+    names = ["block", "lang", "place", "phrase", "n", "classes"]
+    for low in range(0, len(begins), BATCH_ROWS):
+        begin = begins[low : low + BATCH_ROWS]
+        spelled = pc.binary_join_element_wise(*[words.take(pa.array(ids[begin + step])) for step in range(size)], pa.scalar(b" ", words.type))
+        columns = [
+            pa.array(np.full(len(begin), block, np.int64)), pa.repeat(pa.scalar(lang, pa.string()), len(begin)),
+            pa.array(np.arange(low + 1, low + 1 + len(begin), dtype=np.int32)), spelled,
+            pa.array(n_times[low : low + BATCH_ROWS].astype(np.int64)), pa.nulls(len(begin), pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+    columns = [pa.array([block]), pa.array([lang]), pa.array([len(begins)], pa.int32()), pa.array([None], pa.binary()), pa.array([0], pa.int64()), pa.array([packed(placed)], pa.binary())]
+    yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _frequent(rows: DataFrame, least: int, label: str) -> DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,24 @@ def test_phrases(spark, top, share, block):
     assert len(want) > 20
 
 
+def test_phrases_leave_a_task_in_small_batches(monkeypatch):
+    monkeypatch.setattr(phrases, "BATCH_ROWS", 3)
+    texts = phrases._Texts()
+    texts.add(b"a b c d e f. a b c g h")
+    row = texts.row(7, "en")
+    none = pa.nulls(1)
+    row = pa.RecordBatch.from_arrays([*row.columns, pa.array([9]), none, none], names=[*row.schema.names, "reach", "classes", "kept"])
+    *found, places = phrases._grow(2, iter([row]))
+    assert [len(b) for b in found] == [3, 3, 1]
+    said = {r["phrase"]: (r["place"], r["n"]) for b in found for r in b.to_pylist()}
+    assert {p: n for p, (_, n) in said.items()} == {b"a b": 2, b"b c": 2, b"c d": 1, b"d e": 1, b"e f": 1, b"c g": 1, b"g h": 1}
+    assert sorted(place for place, _ in said.values()) == list(range(1, 8))
+    placed = phrases.unpacked(places.column("classes")[0].as_py())
+    ids = phrases.unpacked(row.column("ids")[0].as_py())
+    words = row.column("words")[0].as_py()
+    assert {(words[ids[i]] + b" " + words[ids[i + 1]], p) for i, p in enumerate(placed.tolist()) if p} == {(w, p) for w, (p, _) in said.items()}
+
+
 def test_no_phrases(spark):
     docs = docs_of(spark, ODD)
     assert phrases.collocations(docs).collect() == []
