@@ -8,13 +8,17 @@ of each rule's expansion, the document lengths, the document ids, a null mark ea
 from __future__ import annotations
 
 import functools
+import itertools
 import json
+import operator
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +33,8 @@ SHARD_IDS = 1 << 20
 #: A rule is stored as three numbers (its pair and the length of its expansion) and saves one with each
 #: use, so it pays from the fourth on.
 LEAST_COUNT = 4
-_SLOTS = 20
+#: Characters that may be composed, or have more than one lower-case form.
+_UNUSUAL = re.compile("[\u0130\u0250-\U0010ffff]")
 _VERSION = 1
 
 
@@ -58,46 +63,72 @@ class WordTokenizer:
         visible = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
         hidden = [b for b in range(256) if b not in visible]
         self.byte_level = dict(zip(hidden, range(256, 256 + len(hidden))))
+        del self.byte_level[10]  # no part holds a line break, which stands between parts
         self.words, self.parts = Memo(memo_words), Memo(memo_words)
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text, as bytes of 32-bit integers."""
+    def encode(self, texts: list[bytes], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, ``end`` after each, and how many of them each text has.
+
+        Words are numbered in Arrow; each is looked up once for all its places.
+        """
         self.words.rotate()
         self.parts.rotate()
-        cut = [self._lowered(text).split() for text in texts]
-        self._learn(self.words.missing(word for words in cut for word in words))
-        known = self.words.young.__getitem__
-        return [b"".join(map(known, words)) for words in cut]
-
-    def _lowered(self, text: bytes) -> bytes:
+        cut = pc.ascii_split_whitespace(self._lowered(pa.array(texts, pa.binary()).view(pa.string())))
+        numbered = cut.flatten().dictionary_encode()
+        words = _listed(numbered.dictionary)
+        self._learn(self.words.missing(words))
+        found = [*map(self.words.young.__getitem__, words), end]
+        places = np.insert(numbered.indices.to_numpy(), cut.offsets.to_numpy()[1:], len(words))
+        lengths = np.array(list(map(len, found))) // 4
+        ids = np.frombuffer(b"".join(found), np.uint32)[varied((np.cumsum(lengths) - lengths)[places], lengths[places])]
+        stops = cut.offsets.to_numpy() + np.arange(len(texts) + 1)  # among the places
+        return ids, np.diff(np.concatenate([[0], np.cumsum(lengths[places])])[stops])
+
+    def _lowered(self, texts: pa.Array) -> pa.Array:
         """A-Z in lower case, as the tokenizer will have it, unless that could make a special token."""
-        lower = text.lower()
-        return text if any(token in lower for token in self.special) else lower
+        lower = pc.ascii_lower(texts)
+        found = [pc.match_substring(lower, token.decode()) for token in self.special]
+        return pc.if_else(functools.reduce(pc.or_, found), texts, lower) if found else lower
 
     def _learn(self, words: list[bytes]) -> None:
-        known, recent, older = self.words.young, self.parts.young, self.parts.old
-        tokenize, find, normalize = self.library.model.tokenize, self.find, self.library.normalizer.normalize_str
-        for raw in words:
-            word = raw.decode("utf-8", "replace")
-            if self.special and any(token in raw for token in self.special):
-                known[raw] = array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
-                continue
-            plain = word.isascii()
-            if not plain and (max(word) >= "\u0250" or "\u0130" in word):
-                word = normalize(word)
-            else:
-                word = word.lower()  # Latin letters are composed already, and each has one lower-case form
-            found = []
-            for part in [word] if self.letters_stay and word.isalpha() else find(word):
-                ids = recent.get(part)
-                if ids is None:
-                    ids = older.get(part)
-                    if ids is None:
-                        mapped = part if plain and part.isprintable() else part.encode().decode("latin-1").translate(self.byte_level)
-                        ids = array("I", [token.id for token in tokenize(mapped)]).tobytes()
-                    recent[part] = ids
-                found.append(ids)
-            known[raw] = b"".join(found)
+        """Ids of words that are not known yet: each step is taken for all of them, not word by word."""
+        known, ids = self.words.young, self.parts.young
+        together = b"\n".join(words)
+        if any(token in together for token in self.special):
+            special = [raw for raw in words if any(token in raw for token in self.special)]
+            for raw in special:
+                found = self.library.encode(raw.decode("utf-8", "replace"), add_special_tokens=False).ids
+                known[raw] = array("I", found).tobytes()
+            words = [raw for raw in words if raw not in known]
+            together = b"\n".join(words)
+        if not words:
+            return
+        normal = self._normalized(together.decode("utf-8", "replace"))
+        alone = [self.letters_stay and word.isalpha() for word in normal]
+        cut = list(map(self.find, itertools.compress(normal, map(operator.not_, alone))))
+        self._learn_parts(self.parts.missing(itertools.chain.from_iterable([itertools.compress(normal, alone), *cut])))
+        rest = iter(cut)
+        for raw, word, whole in zip(words, normal, alone):
+            known[raw] = ids[word] if whole else b"".join([ids[part] for part in next(rest)])
+
+    def _normalized(self, lines: str) -> list[str]:
+        if not _UNUSUAL.search(lines):
+            return lines.lower().split("\n")  # Latin letters are composed already, and each has one lower-case form
+        normalize = self.library.normalizer.normalize_str
+        return [normalize(word) if _UNUSUAL.search(word) else word.lower() for word in lines.split("\n")]
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        ids, tokenize = self.parts.young, self.library.model.tokenize
+        hidden = [part for part in parts if not (part.isascii() and part.isprintable())]
+        mapped = dict(zip(hidden, "\n".join(hidden).encode().decode("latin-1").translate(self.byte_level).split("\n")))
+        for part in parts:
+            ids[part] = array("I", [token.id for token in tokenize(mapped.get(part, part))]).tobytes()
+
+
+def _listed(words: pa.Array) -> list[bytes]:
+    """Words, none of which holds a line break; much faster than one by one."""
+    together = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n")
+    return together[0].as_buffer().to_pybytes().split(b"\n")[: len(words)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -111,40 +142,38 @@ def _chosen(place: np.ndarray, after: np.ndarray, weight: np.ndarray) -> np.ndar
     Of two that overlap it is the more frequent one; in a chain of equals, every other one.
     """
     beside = place[1:] == after[:-1]
-    new = np.concatenate([[True], ~beside | (weight[1:] != weight[:-1])])
-    start = np.flatnonzero(new)
-    take = (np.arange(len(place)) - np.repeat(start, np.diff(np.append(start, len(place))))) % 2 == 0
-    take[1:] &= ~(beside & (weight[:-1] > weight[1:]))
-    take[:-1] &= ~(beside & (weight[1:] > weight[:-1]))
+    more, less = weight[1:] > weight[:-1], weight[1:] < weight[:-1]
+    number = np.arange(len(place))
+    start = number.copy()  # of its chain
+    start[1:][beside & ~(more | less)] = 0
+    take = (number - np.maximum.accumulate(start)) & 1 == 0
+    take[1:] &= ~(beside & less)
+    take[:-1] &= ~(beside & more)
     return take
 
 
-def _slots(pairs: np.ndarray) -> np.ndarray:
-    return (pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _SLOTS)).astype(np.int64)
-
-
-def _frequent(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _frequent(pairs: np.ndarray, width: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(kinds, counts, which): the pairs found ``least`` times or more in order, and for each pair its kind or -1.
 
-    Sorting numbers alone is much cheaper than sorting their places, so kinds are looked up by a table of
-    slots, and by search where two share one.
+    Sorting numbers is much cheaper than sorting their places by them, so a number holds a pair (of
+    ``width`` bits) and its place, where both fit into one.
     """
-    ordered = np.sort(pairs)
+    bits = len(pairs).bit_length()
+    if width + bits < 64:
+        ordered = np.sort(pairs << bits | np.arange(len(pairs)))
+        place = ordered & (1 << bits) - 1
+        ordered >>= bits
+    else:
+        place = np.argsort(pairs, kind="stable")
+        ordered = pairs[place]
     starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     counts = np.diff(np.append(starts, len(ordered)))
-    kinds, counts = ordered[starts[counts >= least]], counts[counts >= least]
-    if not len(kinds):
-        return kinds, counts, np.full(len(pairs), -1)
-    numbers, table = np.arange(len(kinds), dtype=np.int32), np.zeros(1 << _SLOTS, np.int32)
-    own = _slots(kinds)
-    table[own] = numbers
-    which = table[_slots(pairs)].astype(np.int64)
-    wrong = np.flatnonzero(kinds[which] != pairs)
-    which[wrong] = -1
-    if (table[own] != numbers).any():
-        found = np.minimum(np.searchsorted(kinds, pairs[wrong]), len(kinds) - 1)
-        which[wrong] = np.where(kinds[found] == pairs[wrong], found, -1)
-    return kinds, counts, which
+    often = np.flatnonzero(counts >= least)
+    numbers = np.full(len(starts), -1)
+    numbers[often] = np.arange(len(often))
+    which = np.empty(len(pairs), np.int64)
+    which[place] = np.repeat(numbers, counts)
+    return ordered[starts[often]], counts[often], which
 
 
 def compress(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
@@ -157,29 +186,32 @@ def compress(ids: np.ndarray, first: int, least: int = LEAST_COUNT) -> tuple[np.
     """
     symbols, rules, made, n = ids.astype(np.int64), [], 0, len(ids)
     following, before, alive = np.arange(1, n + 1), np.arange(-1, n - 1), np.ones(n, bool)
-    slot = _slots(symbols[:-1] << 32 | symbols[1:])
-    place = np.flatnonzero(np.bincount(slot, minlength=1 << _SLOTS)[slot] >= least)  # of others no pair can be frequent
+    place = np.arange(n - 1)
     while len(place):
-        pairs = symbols[place] << 32 | symbols[following[place]]
-        kinds, counts, which = _frequent(pairs, least)
-        place, which = place[which >= 0], which[which >= 0]
-        if not len(place):
+        bits = (first + made).bit_length()
+        pairs = symbols[place] << bits | symbols[following[place]]
+        kinds, counts, which = _frequent(pairs, 2 * bits, least)
+        kept = np.flatnonzero(which >= 0)
+        if not len(kept):
             break
+        place, which = place[kept], which[kept]
         take = _chosen(place, following[place], counts[which])
         pays = np.flatnonzero(np.bincount(which[take], minlength=len(kinds)) >= least)
         if not len(pays):
             break
         number = np.zeros(len(kinds), np.int64)
         number[pays] = np.arange(first + made, first + made + len(pays))
-        take &= number[which] > 0
-        at = place[take]
-        symbols[at] = number[which[take]]
+        new = number[which]
+        taken = np.flatnonzero(take & (new > 0))
+        at = place[taken]
+        symbols[at] = new[taken]
         gone = following[at]
         alive[gone] = False
-        following[at] = following[gone]
-        linked = at[following[at] < n]
-        before[following[linked]] = linked
-        rules.append(np.stack([kinds[pays] >> 32, kinds[pays] & 0xFFFFFFFF], 1).astype(np.uint32))
+        after = following[gone]
+        following[at] = after
+        linked = np.flatnonzero(after < n)
+        before[after[linked]] = at[linked]
+        rules.append(np.stack([kinds[pays] >> bits, kinds[pays] & (1 << bits) - 1], 1).astype(np.uint32))
         made += len(pays)
         again = np.zeros(n + 1, bool)  # one more, for what would come before the first
         again[place] = True
@@ -264,7 +296,7 @@ def write_batches(path: str, end_id: int, folder: str, shard_ids: int, batches:
 
     def flush() -> None:
         nonlocal doc_ids, parts, lengths, held, docs, total
-        file.write(pack(doc_ids, lengths, np.frombuffer(b"".join(parts), np.uint32), first))
+        file.write(pack(doc_ids, lengths, np.concatenate(parts), first))
         docs, total = docs + len(doc_ids), total + held
         doc_ids, parts, lengths, held = [], [], [], 0
 
@@ -272,11 +304,12 @@ def write_batches(path: str, end_id: int, folder: str, shard_ids: int, batches:
         texts, keys = raw_bytes(batch.column("text")), batch.column("doc_id").to_pylist()
         for a, b in pieces(texts, GROUP_BYTES):
             file = file or create_file(name)
-            for key, ids in zip(keys[a:b], tokenizer.encode(texts[a:b])):
+            ids, sizes = tokenizer.encode(texts[a:b], end)
+            for key, size, stop in zip(keys[a:b], sizes.tolist(), np.cumsum(sizes).tolist()):
                 doc_ids.append(key)
-                parts += (ids, end)
-                lengths.append(len(ids) // 4 + 1)
-                held += lengths[-1]
+                parts.append(ids[stop - size : stop])
+                lengths.append(size)
+                held += size
                 if held >= shard_ids:
                     flush()
     if file:

@@ -87,6 +87,35 @@ def test_token_files(spark, tmp_path):
     assert repair.read_ids(repair.write_ids(docs.limit(0), path)).count() == 0
 
 
+def test_words_are_looked_up_once_for_all_their_places():
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+    tokenizer = repair.WordTokenizer(queries.vocabulary_file(queries.WORD_BPE))
+    tokenizer.words.young = counted = Counted()
+    texts = ["  two words, two Words \t\x0b", "", " ", "words " * 5000 + "<|endoftext|>", "\n", "x<|endoftext|>Y <|EndOfText|> \u0130\u03a3 e\u0301 a\u00a0b \x00\x1f it's 12", "two"]
+    ids, sizes = tokenizer.encode([text.encode() for text in texts], np.array([2], np.uint32).tobytes())
+    want = [[*tokenizer.library.encode(text, add_special_tokens=False).ids, 2] for text in texts]
+    assert sizes.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+    assert counted.asked < 30
+    again, _ = tokenizer.encode([b"two", b"two new words"])
+    assert again.tolist() == sum((tokenizer.library.encode(text, add_special_tokens=False).ids for text in ("two", "two new words")), [])
+
+
+def test_frequent_pairs_are_the_same_however_they_are_sorted():
+    pairs = np.random.default_rng(2).integers(0, 300, 2000)
+    narrow, wide = repair._frequent(pairs, 9, 7), repair._frequent(pairs, 62, 7)
+    for a, b in zip(narrow, wide, strict=True):
+        assert np.array_equal(a, b)
+    kinds, counts = np.unique(pairs, return_counts=True)
+    assert np.array_equal(narrow[0], kinds[counts >= 7]) and np.array_equal(narrow[1], counts[counts >= 7])
+    assert np.array_equal(narrow[2], [list(narrow[0]).index(p) if p in narrow[0] else -1 for p in pairs])
+
+
 def test_grammar_round_trip_and_random_access():
     draw = np.random.default_rng(1)
     phrases = draw.integers(0, 100, (20, 6))
